@@ -58,15 +58,16 @@ def _running_sum_batches(group_cols: list[str], weight: str, out: str):
     return fn
 
 
-def prefix_sum(df: DataFrame, order_cols: Sequence[str], weight: str | None = None,
+def prefix_sum(df: DataFrame, order_cols: Sequence[str | Column], weight: str | None = None,
                group_cols: Sequence[str] = (), out: str = "cum",
                num_partitions: int | None = None) -> DataFrame:
     """Inclusive running sum of ``weight`` (1 per row if None) in ``order_cols``
-    order, restarting per ``group_cols``. Ties in the order key get distinct
-    consecutive positions (use ``average_rank`` for tie-aware ranks).
-    Group keys must be non-null (nulls are dropped in the reference, M6)."""
+    order (names or sort-order Columns such as ``F.col(x).desc()``), restarting
+    per ``group_cols``. Give a unique order key for deterministic positions
+    (use ``average_rank`` for tie-aware ranks). Group keys must be non-null
+    (nulls are dropped in the reference, M6)."""
     g = list(group_cols)
-    keys = g + list(order_cols)
+    keys = [F.col(c) for c in g] + [F.col(c) if isinstance(c, str) else c for c in order_cols]
     n = num_partitions or shuffle_partitions(df.sparkSession)
     wcol = weight
     if wcol is None:
@@ -88,6 +89,28 @@ def prefix_sum(df: DataFrame, order_cols: Sequence[str], weight: str | None = No
     return res.drop(*drop)
 
 
+def row_positions(df: DataFrame, order_cols: Sequence[str | Column], group_cols: Sequence[str] = (),
+                  out: str = "pos", num_partitions: int | None = None) -> DataFrame:
+    """1-based row position in a (unique) order, per group, without a one-task window."""
+    return prefix_sum(df, order_cols, None, group_cols, out, num_partitions)
+
+
+def group_sizes(df: DataFrame, group_cols: Sequence[str], out: str = "n") -> DataFrame:
+    return df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias(out))
+
+
+def ntile_from_position(pos: Column, n: Column, k: int) -> Column:
+    """``ntile(k)`` from a 1-based position and the group size: the first
+    ``n % k`` tiles get one extra row (SQL semantics)."""
+    size = F.floor(n / F.lit(k))
+    rem = n - size * F.lit(k)
+    p0 = pos - F.lit(1)
+    big = rem * (size + F.lit(1))
+    return (F.when(p0 < big, F.floor(p0 / (size + F.lit(1))))
+            .otherwise(rem + F.floor((p0 - big) / F.when(size > 0, size).otherwise(F.lit(1))))
+            + F.lit(1)).cast("int")
+
+
 def value_positions(df: DataFrame, value_col: str, group_cols: Sequence[str] = (),
                     num_partitions: int | None = None) -> DataFrame:
     """Distinct ``(group, value)`` with count ``n`` and 1-based positions
