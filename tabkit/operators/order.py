@@ -7,8 +7,8 @@ task. The helpers here instead
    holds a third of the rows, because a hot group is split across ranges by
    its values),
 2. compute running sums inside each partition (Arrow batches in pandas),
-3. add per-partition offsets from a table whose size is bounded by
-   ``#partitions`` (+ ``#groups`` when grouping).
+3. add per-partition offsets computed from one summary row per partition
+   (only a partition's first group can continue from earlier partitions).
 
 Average ranks with ties (Q01) and exact interpolated quantiles are built on
 the same prefix sum over ``(value, count)`` pairs, so the data is first
@@ -19,39 +19,90 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import json
+import math
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import scalars
-from ..session import shuffle_partitions
+from ..session import ensure_checkpoint_dir, shuffle_partitions
+
+
+def _key_of(row_vals) -> str:
+    return json.dumps([None if (isinstance(v, float) and math.isnan(v)) else
+                       (v.item() if hasattr(v, "item") else (str(v) if not isinstance(v, (int, float, str, bool)) else v))
+                       for v in row_vals])
 
 
-def _running_sum_batches(group_cols: list[str], weight: str, out: str):
-    """Per-partition running sum that continues across Arrow batches."""
+def _partition_summary(group_cols: list[str], weight: str):
+    """One row per partition: first/last group key, the weight of its last group
+    (tail), and whether the whole partition is a single group."""
 
     def fn(batches):
-        carry_key, carry_val = None, 0
+        pid, first, last, tail, single = None, None, None, 0, True
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            if pid is None:
+                pid = int(pdf["_pid"].iloc[0])
+            w = pdf[weight]
+            if group_cols:
+                codes = pdf.groupby(group_cols, sort=False, dropna=False).ngroup().values
+                k0 = _key_of(pdf[group_cols].iloc[0].tolist())
+                kl = _key_of(pdf[group_cols].iloc[-1].tolist())
+                if first is None:
+                    first = k0
+                if codes[0] != codes[-1] or (last is not None and k0 != last):
+                    single = False
+                last_run = w[codes == codes[-1]].sum()
+                tail = (tail + last_run) if (last is not None and kl == last and codes[0] == codes[-1]) else last_run
+                last = kl
+            else:
+                first = last = "[]"
+                tail += w.sum()
+        if pid is not None:
+            yield pd.DataFrame({"_pid": [pid], "first": [first], "last": [last],
+                                "tail": [float(tail)], "single": [bool(single)]})
+
+    return fn
+
+
+def _running_sum_batches(group_cols: list[str], weight: str, out: str, offsets: dict):
+    """Per-partition running sum that continues across Arrow batches; the
+    partition's first group starts at its offset from earlier partitions."""
+
+    def fn(batches):
+        carry_key, carry_val, first_key, off = None, 0, None, 0
         for pdf in batches:
             if pdf.empty:
                 yield pdf.assign(**{out: pd.Series(dtype=pdf[weight].dtype)})
                 continue
+            if first_key is None:
+                off = offsets.get(int(pdf["_pid"].iloc[0]), 0)
             w = pdf[weight]
             if group_cols:
                 # rows are sorted by group: only the first run can continue the
-                # previous batch's group
+                # previous batch's (or partition's) group
                 codes = pdf.groupby(group_cols, sort=False, dropna=False).ngroup()
                 cum = w.groupby(codes.values).cumsum()
-                first = tuple(pdf.iloc[0][group_cols])
-                if carry_key is not None and first == carry_key:
+                k0 = _key_of(pdf[group_cols].iloc[0].tolist())
+                if first_key is None:
+                    first_key = k0
+                    cum = cum + (codes.values == codes.values[0]) * off
+                elif carry_key is not None and k0 == carry_key:
                     cum = cum + (codes.values == codes.values[0]) * carry_val
-                carry_key = tuple(pdf.iloc[-1][group_cols])
+                carry_key = _key_of(pdf[group_cols].iloc[-1].tolist())
             else:
                 cum = w.cumsum()
-                if carry_key is not None:
+                if first_key is None:
+                    first_key = "[]"
+                    cum = cum + off
+                else:
                     cum = cum + carry_val
-                carry_key = ()
+                carry_key = "[]"
             carry_val = cum.iloc[-1]
             yield pdf.assign(**{out: cum.values})
 
@@ -65,27 +116,42 @@ def prefix_sum(df: DataFrame, order_cols: Sequence[str | Column], weight: str |
     order (names or sort-order Columns such as ``F.col(x).desc()``), restarting
     per ``group_cols``. Give a unique order key for deterministic positions
     (use ``average_rank`` for tie-aware ranks). Group keys must be non-null
-    (nulls are dropped in the reference, M6)."""
+    (nulls are dropped in the reference, M6).
+
+    Plan: range partition + sort (a group larger than a partition is split
+    across several), one reliable checkpoint of that layout in the shared
+    checkpoint folder (so the layout is computed once and survives executor
+    loss), one Python pass for per-partition summaries (one row per partition
+    reaches the driver), and one Python pass for the running sums. Only the
+    first group of a partition can continue from earlier partitions, so the
+    offsets table has one entry per partition."""
     g = list(group_cols)
     keys = [F.col(c) for c in g] + [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    n = num_partitions or shuffle_partitions(df.sparkSession)
+    spark = df.sparkSession
+    n = num_partitions or shuffle_partitions(spark)
     wcol = weight
     if wcol is None:
         wcol = "_one"
         df = df.withColumn(wcol, F.lit(1).cast("long"))
     wtype = df.schema[wcol].dataType
+    ensure_checkpoint_dir(spark)
     part = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-            .withColumn("_pid", F.spark_partition_id()))
-    schema = T.StructType(part.schema.fields + [T.StructField("_loc", wtype, True)])
-    local = part.mapInPandas(_running_sum_batches(g, wcol, "_loc"), schema)
-    tot = local.groupBy("_pid", *g).agg(F.sum(wcol).alias("_tot"))
-    off_w = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = tot.select("_pid", *g, F.coalesce(F.sum("_tot").over(off_w), F.lit(0)).cast(wtype).alias("_off"))
-    if not g:
-        # at most ``n`` rows: a proven bound, so broadcast
-        offsets = F.broadcast(offsets)
-    res = local.join(offsets, ["_pid", *g], "left").withColumn(out, F.col("_loc") + F.col("_off"))
-    drop = ["_pid", "_loc", "_off"] + (["_one"] if weight is None else [])
+            .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
+    summ = part.mapInPandas(_partition_summary(g, wcol),
+                            "_pid int, first string, last string, tail double, single boolean").collect()
+    integral = isinstance(wtype, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))
+    offsets, run_key, run_sum = {}, None, 0
+    for r in sorted(summ, key=lambda r: r["_pid"]):
+        tail = int(round(r["tail"])) if integral else r["tail"]
+        off = run_sum if r["first"] == run_key else 0
+        offsets[r["_pid"]] = off
+        if r["single"]:
+            run_key, run_sum = r["first"], off + tail
+        else:
+            run_key, run_sum = r["last"], tail
+    schema = T.StructType(part.schema.fields + [T.StructField(out, wtype, True)])
+    res = part.mapInPandas(_running_sum_batches(g, wcol, out, offsets), schema)
+    drop = ["_pid"] + (["_one"] if weight is None else [])
     return res.drop(*drop)
 
 
@@ -148,40 +214,36 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
 
     Unlike ``percentile`` (which buffers all values of a group in one
     aggregation buffer), this sorts by range and only brings the <= 2 values
-    around each target position per group together.
+    around each target position per group together: every distinct value
+    row tests, with one array expression, which target positions it covers.
     Output: ``(group..., q_<i>)`` for each prob, or long ``(group..., prob, value)``.
     """
     g = list(group_cols)
     pos = value_positions(df, value_col, g, num_partitions)
     if g:
-        totals = pos.groupBy(*g).agg(F.sum("n").alias("_N"))
+        totals = pos.groupBy(*g).agg(F.max("pos_end").alias("_N"))
         pos = pos.join(totals, g)
-        N = F.col("_N")
+        n_col = F.col("_N")
     else:
-        total = scalars(pos.agg(F.sum("n").alias("N")))["N"] or 0
-        N = F.lit(total).cast("long")
-    zero = pos.withColumn("_s0", F.col("pos_start") - 1).withColumn("_e0", F.col("pos_end") - 1)
-    conds, aggs = [], []
-    for i, p in enumerate(probs):
-        h = (N - F.lit(1)).cast("double") * F.lit(float(p))
-        lo = F.floor(h)
-        hi = F.ceil(h)
-        cov_lo = (F.col("_s0") <= lo) & (lo <= F.col("_e0"))
-        cov_hi = (F.col("_s0") <= hi) & (hi <= F.col("_e0"))
-        zero = zero.withColumn(f"_lo{i}", cov_lo).withColumn(f"_hi{i}", cov_hi) \
-                   .withColumn(f"_fr{i}", h - lo)
-        conds += [F.col(f"_lo{i}"), F.col(f"_hi{i}")]
-        v = F.col(value_col).cast("double")
-        aggs += [F.max(F.when(F.col(f"_lo{i}"), v)).alias(f"_lv{i}"),
-                 F.max(F.when(F.col(f"_hi{i}"), v)).alias(f"_hv{i}"),
-                 F.max(F.col(f"_fr{i}")).alias(f"_f{i}")]
-    any_cov = conds[0]
-    for c in conds[1:]:
-        any_cov = any_cov | c
-    picked = zero.where(any_cov)
+        total = scalars(pos.agg(F.max("pos_end").alias("N")))["N"] or 0
+        n_col = F.lit(total).cast("long")
+    parr = F.array(*[F.lit(float(p)) for p in probs])
+    k = len(probs)
+    s0, e0 = F.col("pos_start") - 1, F.col("pos_end") - 1
+    cov = pos.select(
+        *g, F.col(value_col).cast("double").alias("_v"), n_col.alias("_N"),
+        F.transform(parr, lambda p: (s0 <= F.floor((n_col - 1) * p)) & (F.floor((n_col - 1) * p) <= e0)).alias("_lo"),
+        F.transform(parr, lambda p: (s0 <= F.ceil((n_col - 1) * p)) & (F.ceil((n_col - 1) * p) <= e0)).alias("_hi"))
+    picked = cov.where(F.exists("_lo", lambda x: x) | F.exists("_hi", lambda x: x))
+    aggs = [F.max("_N").alias("_N")]
+    for i in range(k):
+        aggs += [F.max(F.when(F.element_at("_lo", i + 1), F.col("_v"))).alias(f"_lv{i}"),
+                 F.max(F.when(F.element_at("_hi", i + 1), F.col("_v"))).alias(f"_hv{i}")]
     agg = picked.groupBy(*g).agg(*aggs) if g else picked.agg(*aggs)
-    qcols = [(F.col(f"_lv{i}") + (F.col(f"_hv{i}") - F.col(f"_lv{i}")) * F.col(f"_f{i}")).alias(f"q_{i}")
-             for i in range(len(probs))]
+    qcols = []
+    for i, p in enumerate(probs):
+        h = (F.col("_N") - 1).cast("double") * F.lit(float(p))
+        qcols.append((F.col(f"_lv{i}") + (F.col(f"_hv{i}") - F.col(f"_lv{i}")) * (h - F.floor(h))).alias(f"q_{i}"))
     wide = agg.select(*g, *qcols)
     if not long:
         return wide

@@ -288,7 +288,7 @@ def p20(spark, sf_dir):
 
 
 @plan("p21_rescale_array", "P21", """
-SELECT vec_id, len(embedding) AS n, round(list_sum(list_transform(embedding, lambda x: x::DOUBLE / 255.0)), 9) AS scaled_sum,
+SELECT vec_id, CAST(len(embedding) AS INTEGER) AS n, round(list_sum(list_transform(embedding, lambda x: x::DOUBLE / 255.0)), 9) AS scaled_sum,
   round(list_max(list_transform(embedding, lambda x: x::DOUBLE / 255.0)), 12) AS scaled_max
 FROM embeddings""")
 def p21(spark, sf_dir):
@@ -340,7 +340,7 @@ def _local(ts="ts"):
 
 @plan("t01_t04_time_features", "T01,T02,T03,T04", f"""
 WITH l AS (SELECT event_id, {_local()} AS lt FROM events)
-SELECT event_id, hour(lt) AS hour, isodow(lt) - 1 AS weekday, month(lt) AS month,
+SELECT event_id, CAST(hour(lt) AS INTEGER) AS hour, CAST(isodow(lt) - 1 AS INTEGER) AS weekday, CAST(month(lt) AS INTEGER) AS month,
   round(sin(2 * pi() * hour(lt) / 24), 9) + 0.0 AS hour_sin, round(cos(2 * pi() * hour(lt) / 24), 9) + 0.0 AS hour_cos,
   CAST((hour(lt) BETWEEN 6 AND 7) OR (hour(lt) BETWEEN 18 AND 19) AS INTEGER) AS handover,
   CAST(hour(lt) >= 19 OR hour(lt) < 7 AS INTEGER) AS night_shift
@@ -353,7 +353,7 @@ def t01(spark, sf_dir):
 
 
 @plan("t05_day_parts", "T05", """
-SELECT event_id, dayname(ts) AS day_name, day(ts) AS day_of_month, hour(ts) AS hour,
+SELECT event_id, dayname(ts) AS day_name, CAST(day(ts) AS INTEGER) AS day_of_month, CAST(hour(ts) AS INTEGER) AS hour,
   CAST(day(ts) > 15 AS INTEGER) AS second_half, CAST(hour(ts) >= 12 AS INTEGER) AS after_noon
 FROM events""")
 def t05(spark, sf_dir):

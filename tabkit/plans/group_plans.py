@@ -132,7 +132,7 @@ def g17(spark, sf_dir):
 @plan("g18_label_coverage", "G18,J04", """
 WITH j AS (SELECT d.lang, l.doc_id IS NOT NULL AS lab FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
 c AS (SELECT lang, count_if(lab) AS n_labelled, count_if(NOT lab) AS n_unlabelled FROM j GROUP BY 1)
-SELECT lang, n_labelled, n_unlabelled, round(n_labelled / sum(n_labelled) OVER (), 9) AS share_labelled,
+SELECT lang, CAST(n_labelled AS BIGINT) AS n_labelled, CAST(n_unlabelled AS BIGINT) AS n_unlabelled, round(n_labelled / sum(n_labelled) OVER (), 9) AS share_labelled,
   round(n_unlabelled / sum(n_unlabelled) OVER (), 9) AS share_unlabelled,
   round(n_labelled / sum(n_labelled) OVER () - n_unlabelled / sum(n_unlabelled) OVER (), 9) + 0.0 AS diff
 FROM c""")
@@ -160,7 +160,7 @@ def g19(spark, sf_dir):
 @plan("g20_hourly_share", "G20", """
 WITH c AS (SELECT hour(ts) AS hour, count(*) AS n, count_if(event_type = 'error') AS n_flag FROM events GROUP BY 1),
 g AS (SELECT CAST(range AS INTEGER) AS hour FROM range(24))
-SELECT g.hour, coalesce(n, 0) AS n, coalesce(n_flag, 0) AS n_flag,
+SELECT g.hour, coalesce(n, 0) AS n, CAST(coalesce(n_flag, 0) AS BIGINT) AS n_flag,
   round(CASE WHEN coalesce(n, 0) = 0 THEN NULL ELSE n_flag / n END, 9) AS share
 FROM g LEFT JOIN c ON g.hour = c.hour""")
 def g20(spark, sf_dir):
@@ -169,7 +169,7 @@ def g20(spark, sf_dir):
 
 
 @plan("g21_risky_pairs", "G21", f"""
-SELECT c_mktsegment, o_orderpriority, count(*) AS total, count_if(o_orderstatus = 'F') AS hits,
+SELECT c_mktsegment, o_orderpriority, count(*) AS total, CAST(count_if(o_orderstatus = 'F') AS BIGINT) AS hits,
   round(count_if(o_orderstatus = 'F') / count(*), 9) AS share
 FROM {OC_SQL} GROUP BY 1, 2 HAVING count(*) >= 20
 ORDER BY count_if(o_orderstatus = 'F') / count(*) DESC, total DESC, c_mktsegment, o_orderpriority LIMIT 10""")
@@ -196,7 +196,7 @@ def g22(spark, sf_dir):
 WITH c AS (SELECT l_linestatus, l_returnflag, count(*) AS n FROM lineitem GROUP BY 1, 2),
 g AS (SELECT l_linestatus, sum(n) AS group_n FROM c GROUP BY 1),
 k AS (SELECT l_returnflag, sum(n) / (SELECT sum(n) FROM c) AS global_share FROM c GROUP BY 1)
-SELECT c.l_returnflag, c.l_linestatus, n, group_n, round(global_share, 9) AS global_share,
+SELECT c.l_returnflag, c.l_linestatus, n, CAST(group_n AS BIGINT) AS group_n, round(global_share, 9) AS global_share,
   round(n / group_n, 9) AS share, round((n / group_n - global_share) * 100, 9) + 0.0 AS delta_pts
 FROM c JOIN g ON c.l_linestatus = g.l_linestatus JOIN k ON c.l_returnflag = k.l_returnflag WHERE group_n >= 50""")
 def g23(spark, sf_dir):

@@ -30,8 +30,8 @@ LI_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
 @plan("vf01_group_median_imputer", "V-F01", """
 WITH b AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, nullif(l_discount, 0) AS disc FROM lineitem),
-m AS (SELECT l_returnflag, median(disc) AS gm FROM b GROUP BY 1), g AS (SELECT median(disc) AS glob FROM b)
-SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(coalesce(disc, gm, glob), 9) AS disc FROM b LEFT JOIN m USING (l_returnflag) CROSS JOIN g""")
+m AS (SELECT l_returnflag, median(disc) AS gm FROM b GROUP BY 1), g AS (SELECT median(disc) AS glob_m FROM b)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(coalesce(disc, gm, glob_m), 9) AS disc FROM b LEFT JOIN m USING (l_returnflag) CROSS JOIN g""")
 def vf01(spark, sf_dir):
     d = _disc_null(Tables(spark, sf_dir))
     model = FE.GroupMedianImputer("l_returnflag", ["disc"]).fit(d)

@@ -265,7 +265,8 @@ WITH s AS (SELECT quality, CASE
   FROM labels WHERE quality IS NOT NULL),
 c AS (SELECT quality, count_if(split = 'train') AS train, count_if(split = 'val') AS val, count_if(split = 'test') AS test
       FROM s GROUP BY 1)
-SELECT quality, train, val, test, train + val + test AS original,
+SELECT quality, CAST(train AS BIGINT) AS train, CAST(val AS BIGINT) AS val, CAST(test AS BIGINT) AS test,
+  CAST(train + val + test AS BIGINT) AS original,
   round((train + val + test) / sum(train + val + test) OVER (), 9) AS original_share,
   round(train / sum(train) OVER (), 9) AS train_share, round(val / sum(val) OVER (), 9) AS val_share,
   round(test / sum(test) OVER (), 9) AS test_share,

@@ -38,7 +38,7 @@ m AS (
   SELECT 'lang', count_if(lang IS NULL), count(*) FROM j UNION ALL
   SELECT 'quality', count_if(quality IS NULL), count(*) FROM j UNION ALL
   SELECT 'toxic', count_if(toxic IS NULL), count(*) FROM j)
-SELECT "column", missing, round(missing / n, 9) AS share, missing / n > 0.05 AS over_threshold FROM m""")
+SELECT "column", CAST(missing AS BIGINT) AS missing, round(missing / n, 9) AS share, missing / n > 0.05 AS over_threshold FROM m""")
 def g02(spark, sf_dir):
     j = _labelled_docs(Tables(spark, sf_dir)).select("doc_id", "lang", "quality", "toxic")
     out = PR.missing_report(j, threshold=0.05)
@@ -185,7 +185,7 @@ WITH q AS (SELECT o_orderpriority, quantile_cont(o_totalprice, 0.25) AS q1, quan
 SELECT o.o_orderpriority, round(q1, 6) AS q1, round(med, 6) AS median, round(q3, 6) AS q3,
   round(min(o_totalprice) FILTER (WHERE o_totalprice >= q1 - 1.5 * (q3 - q1)), 6) AS whisker_low,
   round(max(o_totalprice) FILTER (WHERE o_totalprice <= q3 + 1.5 * (q3 - q1)), 6) AS whisker_high,
-  count_if(o_totalprice < q1 - 1.5 * (q3 - q1) OR o_totalprice > q3 + 1.5 * (q3 - q1)) AS n_outliers,
+  CAST(count_if(o_totalprice < q1 - 1.5 * (q3 - q1) OR o_totalprice > q3 + 1.5 * (q3 - q1)) AS BIGINT) AS n_outliers,
   count(*) AS n
 FROM orders o JOIN q ON o.o_orderpriority = q.o_orderpriority GROUP BY ALL""")
 def g32(spark, sf_dir):

@@ -159,7 +159,7 @@ def s10(spark, sf_dir):
 WITH j AS (SELECT d.doc_id, d.text, l.quality FROM documents d LEFT JOIN labels l USING (doc_id)),
 w AS (SELECT *, CAST(len(list_filter(string_split_regex(trim(text), '\\s+'), lambda x: x <> '')) AS INTEGER) AS wc FROM j)
 SELECT count(*) AS n_rows, count(quality) AS n_labelled, round(count(quality) / count(*), 9) AS label_coverage,
-  count(*) - count(DISTINCT doc_id) AS duplicate_ids, count_if(text IS NULL) AS null_text, count_if(quality IS NULL) AS null_label,
+  count(*) - count(DISTINCT doc_id) AS duplicate_ids, CAST(count_if(text IS NULL) AS BIGINT) AS null_text, CAST(count_if(quality IS NULL) AS BIGINT) AS null_label,
   round(avg(wc), 6) AS words_mean, round(stddev_samp(wc), 6) AS words_std, min(wc) AS words_min, max(wc) AS words_max,
   round(count(DISTINCT text) / count(*), 9) AS distinct_text_share FROM w""")
 def s11(spark, sf_dir):
