@@ -97,6 +97,16 @@ def fuse_weighted(probs: Sequence[Column], weights: Sequence[float]) -> Column:
     return acc
 
 
+def weighted_average(preds: Sequence[Column], weights: Sequence[float]) -> Column:
+    """Weighted mean of prediction columns of the same rows (weights normalised)."""
+    tot = float(sum(weights))
+    acc = None
+    for p, w in zip(preds, weights):
+        term = p * F.lit(w / tot)
+        acc = term if acc is None else acc + term
+    return acc
+
+
 def _scale(w: float):
     return lambda x: x * F.lit(w)
 

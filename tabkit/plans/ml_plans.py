@@ -387,11 +387,11 @@ def a11(spark, sf_dir):
     from ..functions.columns import scalars
     li = Tables(spark, sf_dir).lineitem
     g = scalars(li.agg(F.avg(F.col("l_extendedprice") / F.col("l_quantity")).alias("g")))["g"]
-    p1 = li.select(*LI_KEYS, (F.col("l_quantity") * F.lit(g)).alias("p1"))
     pu = li.groupBy("l_partkey").agg(F.avg(F.col("l_extendedprice") / F.col("l_quantity")).alias("pu"))
-    p2 = li.join(pu, "l_partkey").select(*LI_KEYS, (F.col("l_quantity") * F.col("pu")).alias("p2"))
-    j = p1.join(p2, LI_KEYS)
-    return j.select(*LI_KEYS, rnd(F.lit(0.4) * F.col("p1") + F.lit(0.6) * F.col("p2"), 6).alias("p_avg"))
+    # both predictions on the same rows (row-aligned), then the weighted vote
+    j = li.join(pu, "l_partkey").select(*LI_KEYS, (F.col("l_quantity") * F.lit(g)).alias("p1"),
+                                        (F.col("l_quantity") * F.col("pu")).alias("p2"))
+    return j.select(*LI_KEYS, rnd(MD.weighted_average([F.col("p1"), F.col("p2")], [0.4, 0.6]), 6).alias("p_avg"))
 
 
 @plan("a12_stacking", "A12,B06")
@@ -407,8 +407,8 @@ def a12(spark, sf_dir):
         m1 = MD.make_estimator("linear_regression", labelCol="label").fit(va.transform(tr))
         m2 = MD.make_estimator("decision_tree_regressor", labelCol="label", maxDepth=5).fit(va.transform(tr))
         h = va.transform(ho)
-        part = m1.transform(h).select(*LI_KEYS, "label", F.col("prediction").alias("p_lin")) \
-            .join(m2.transform(h).select(*LI_KEYS, F.col("prediction").alias("p_tree")), LI_KEYS)
+        part = m2.transform(m1.transform(h).withColumnRenamed("prediction", "p_lin")) \
+            .select(*LI_KEYS, "label", "p_lin", F.col("prediction").alias("p_tree"))
         oof = part if oof is None else oof.unionByName(part)
     meta = MD.make_estimator("ridge", labelCol="label", regParam=0.1).fit(
         VectorAssembler(inputCols=["p_lin", "p_tree"], outputCol="features").transform(oof))
