@@ -44,13 +44,29 @@ def length_stats(df: DataFrame, text: str, group_cols: Sequence[str]) -> DataFra
     return st.join(med, list(group_cols), "left")
 
 
+def spread_docs(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition documents by their (unique) key before tokenising: the
+    regex work runs in every task, and per-document aggregates such as
+    ``(key, term)`` counts need no further shuffle (the partitioning on ``key``
+    already clusters them)."""
+    return df.repartition(key)
+
+
+def with_bigrams(df: DataFrame, tokens_col: str, out: str) -> DataFrame:
+    """X05 on a DataFrame: consecutive token pairs ``"a b"`` with MLlib's
+    ``NGram`` (compiled), much faster than a higher-order-function lambda."""
+    from pyspark.ml.feature import NGram
+    return NGram(n=2, inputCol=tokens_col, outputCol=out).transform(df)
+
+
 def doc_terms(df: DataFrame, key: str, text: str, ngram_max: int = 2, min_len: int = 2) -> DataFrame:
     """Term counts ``(key, term, tf)`` of unigrams (and bigrams) of whole texts."""
     toks = TX.tokens(text, min_len=min_len)
-    base = df.select(key, toks.alias("_t"))
+    base = spread_docs(df.select(key, text), key).select(key, toks.alias("_t"))
     arr = F.col("_t")
     if ngram_max >= 2:
-        arr = F.concat(F.col("_t"), TX.bigrams(F.col("_t")))
+        base = with_bigrams(base, "_t", "_b")
+        arr = F.concat(F.col("_t"), F.col("_b"))
     return (base.select(key, F.explode(arr).alias("term"))
             .groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf")))
 
@@ -72,15 +88,17 @@ def tfidf(df: DataFrame, key: str, text: str, min_df: int = 3, max_features: int
     idf = F.ln((F.lit(1.0) + F.lit(float(n_docs))) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
     tfw = (F.lit(1.0) + F.ln(F.col("tf").cast("double"))) if sublinear else F.col("tf").cast("double")
     w = terms.join(stats.select("term", "df"), "term").withColumn("w", tfw * idf)
-    norms = w.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"))
-    return w.join(norms, key).select(key, "term", (F.col("w") / F.col("_norm")).alias("weight"))
+    # L2 norm per document: a document has at most ``max_features`` kept terms,
+    # so a window per document is bounded (and saves the aggregate + join)
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))
+    return w.select(key, "term", (F.col("w") / norm).alias("weight"))
 
 
 def rule_scores(df: DataFrame, key: str, text: str, patterns, negations: Sequence[str],
                 min_len: int = 1) -> DataFrame:
     """``flag`` (any valid match) and ``score`` (valid matches / tokens)."""
     toks = TX.tokens(text, min_len=min_len)
-    base = df.select(key, toks.alias("_t"))
+    base = spread_docs(df.select(key, text), key).select(key, toks.alias("_t"))
     m = TX.rule_matches(F.col("_t"), patterns, negations)
     return (base.select(key, m.alias("matches"), F.size("_t").alias("n_tokens"))
             .withColumn("flag", (F.col("matches") > 0).cast("int"))

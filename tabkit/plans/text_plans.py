@@ -46,7 +46,8 @@ def _bigram_sql(t):
 
 
 def _toks(t: Tables, min_len=3):
-    return t.documents.select("doc_id", "lang", TX.tokens("text", min_len=min_len).alias("toks"))
+    docs = TO.spread_docs(t.documents.select("doc_id", "lang", "text"), "doc_id")
+    return docs.select("doc_id", "lang", TX.tokens("text", min_len=min_len).alias("toks"))
 
 
 @plan("x01_word_count", "X01", """
@@ -81,7 +82,8 @@ def x04(spark, sf_dir):
 WITH s AS (SELECT doc_id, {STOP_SQL} AS t FROM documents)
 SELECT doc_id, CAST(len({_bigram_sql('t')}) AS INTEGER) AS n_bigrams, md5(array_to_string({_bigram_sql('t')}, '|')) AS bigrams_md5 FROM s""")
 def x05(spark, sf_dir):
-    d = _toks(Tables(spark, sf_dir)).withColumn("b", TX.bigrams(TX.remove_stopwords(F.col("toks"), STOPWORDS)))
+    d = _toks(Tables(spark, sf_dir)).withColumn("k", TX.remove_stopwords(F.col("toks"), STOPWORDS))
+    d = TO.with_bigrams(d, "k", "b")
     return d.select("doc_id", F.size("b").alias("n_bigrams"), F.md5(F.array_join("b", "|")).alias("bigrams_md5"))
 
 
@@ -108,8 +110,8 @@ WITH s AS (SELECT {STOP_SQL} AS t FROM documents),
 b AS (SELECT unnest({_bigram_sql('t')}) AS bigram FROM s)
 SELECT bigram, count(*) AS count FROM b GROUP BY 1 ORDER BY count DESC, bigram LIMIT 20""")
 def x07(spark, sf_dir):
-    d = _toks(Tables(spark, sf_dir))
-    return TO.top_tokens(d, TX.bigrams(TX.remove_stopwords(F.col("toks"), STOPWORDS)), 20, name="bigram")
+    d = _toks(Tables(spark, sf_dir)).withColumn("k", TX.remove_stopwords(F.col("toks"), STOPWORDS))
+    return TO.top_tokens(TO.with_bigrams(d, "k", "b"), F.col("b"), 20, name="bigram")
 
 
 @plan("x08_length_stats", "X08", """
