@@ -128,14 +128,16 @@ def prefix_sum(df: DataFrame, order_cols: Sequence[str | Column], weight: str |
     g = list(group_cols)
     keys = [F.col(c) for c in g] + [F.col(c) if isinstance(c, str) else c for c in order_cols]
     spark = df.sparkSession
-    n = num_partitions or shuffle_partitions(spark)
     wcol = weight
     if wcol is None:
         wcol = "_one"
         df = df.withColumn(wcol, F.lit(1).cast("long"))
     wtype = df.schema[wcol].dataType
     ensure_checkpoint_dir(spark)
-    part = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    # Without an explicit count AQE sizes the ranges from the data (merging only
+    # adjacent ranges, so the order across partitions is kept).
+    ranged = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
+    part = (ranged.sortWithinPartitions(*keys)
             .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
     summ = part.mapInPandas(_partition_summary(g, wcol),
                             "_pid int, first string, last string, tail double, single boolean").collect()
