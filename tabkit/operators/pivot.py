@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.bins import quantile_bins
 from ..functions.columns import scalars
@@ -268,7 +269,12 @@ def total_mean_per_key(df: DataFrame, key: str, value: str, descending: bool = T
 def duplicate_stats(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
     """Rows, distinct rows on ``cols``, duplicates and distinct share."""
     if len(cols) == 1:
-        dc = F.approx_count_distinct(cols[0]) if approx else F.count_distinct(F.col(cols[0]))
+        c = F.col(cols[0])
+        if isinstance(df.schema[cols[0]].dataType, T.StringType):
+            # whole texts: distinct on a SHA-256 digest shuffles 32 bytes per row
+            # instead of the text (collisions are negligible)
+            c = F.sha2(c, 256)
+        dc = F.approx_count_distinct(c) if approx else F.count_distinct(c)
         one = df.agg(F.count(F.lit(1)).alias("n_rows"), dc.alias("n_distinct"))
     else:
         n = df.agg(F.count(F.lit(1)).alias("n_rows"))

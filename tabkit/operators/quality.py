@@ -128,7 +128,8 @@ def quality_report(df: DataFrame, key: str, text: str, label: str, labelled: str
             F.count_if(F.col(label).isNull()).alias("null_label"),
             F.avg(wc).alias("words_mean"), F.stddev_samp(wc).alias("words_std"),
             F.min(wc).alias("words_min"), F.max(wc).alias("words_max"),
-            (F.count_distinct(F.col(text)) / F.count(F.lit(1))).alias("distinct_text_share")]
+            # distinct texts via a SHA-256 digest: 32 bytes shuffled per row, not the text
+            (F.count_distinct(F.sha2(F.col(text), 256)) / F.count(F.lit(1))).alias("distinct_text_share")]
     aggs += [F.count_if(F.col(f).cast("boolean")).alias(f"n_{f}") for f in noise_flags]
     return df.agg(*aggs)
 
