@@ -23,7 +23,6 @@ import json
 import math
 
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -135,14 +134,11 @@ def prefix_sum(df: DataFrame, order_cols: Sequence[str | Column], weight: str |
         df = df.withColumn(wcol, F.lit(1).cast("long"))
     wtype = df.schema[wcol].dataType
     ensure_checkpoint_dir(spark)
-    # Without an explicit count AQE sizes the ranges from the data (merging only
-    # adjacent ranges, so the order across partitions is kept).
-    ranged = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
-    laid = ranged.sortWithinPartitions(*keys).withColumn("_pid", F.spark_partition_id())
-    # persist first so that writing the checkpoint does not recompute the layout
-    laid = laid.persist(StorageLevel.MEMORY_AND_DISK)
-    part = laid.checkpoint(eager=True)
-    laid.unpersist()
+    # ranges: the configured shuffle partitions, but not more than two per core
+    # (a 200-partition default on 8 local cores only adds task overhead)
+    n = num_partitions or max(1, min(shuffle_partitions(spark), 2 * spark.sparkContext.defaultParallelism))
+    part = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+            .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
     summ = part.mapInPandas(_partition_summary(g, wcol),
                             "_pid int, first string, last string, tail double, single boolean").collect()
     integral = isinstance(wtype, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))
