@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from contextlib import contextmanager
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +20,20 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 
+@contextmanager
+def state_partitions(spark: SparkSession):
+    """Start a stateful stream with at most two state partitions per core.
+    The number is fixed in the stream's (fresh) checkpoint at start; the
+    session value is restored afterwards."""
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(max(1, min(int(old), 2 * spark.sparkContext.defaultParallelism))))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def utc_instant(ts: str | Column, spark: SparkSession) -> Column:
     """TIMESTAMP_NTZ wall clock read as UTC -> TIMESTAMP (watermarks need it)."""
     c = F.col(ts) if isinstance(ts, str) else ts
@@ -74,8 +89,9 @@ def run_window_metrics_stream(spark: SparkSession, src_dirs: Sequence[str], sche
               .withColumn("_et", utc_instant(ts, spark)).withWatermark("_et", watermark))
     agg = window_metrics(stream, "_et", truth, pred, size, slide)
     sink, ck = os.path.join(root, "out"), os.path.join(root, "ck")
-    q = (agg.writeStream.outputMode("append").format("parquet").option("path", sink)
-         .option("checkpointLocation", ck).trigger(availableNow=True).start())
+    with state_partitions(spark):
+        q = (agg.writeStream.outputMode("append").format("parquet").option("path", sink)
+             .option("checkpointLocation", ck).trigger(availableNow=True).start())
     q.awaitTermination()
     dropped = sum(int(p["stateOperators"][0].get("numRowsDroppedByWatermark", 0))
                   for p in q.recentProgress if p.get("stateOperators"))
