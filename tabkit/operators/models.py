@@ -366,3 +366,47 @@ def cv_results_table(spark: SparkSession, cv_model, maps: list[dict], name: str)
     for m, avg, sd in zip(maps, cv_model.avgMetrics, stds):
         rows.append((name, str(sorted(m.items())), float(avg), float(sd) if sd is not None else None))
     return spark.createDataFrame(rows, "model string, params string, mean_metric double, std_metric double")
+
+
+# ---------------------------------------------------------------- A18 / A19
+
+def permutation_importance(model, df: DataFrame, key: str, features: Sequence[str], evaluator,
+                           repeats: int = 5, seed: int = 13) -> DataFrame:
+    """Drop of the metric when one feature column is shuffled, averaged
+    over ``repeats``. A shuffle is a rank join: every row's original position
+    (range-partitioned prefix sum over ``key``) is paired with its position in
+    a hash order of (key, repeat); the row takes the feature value of the row
+    that holds that position. Positions are unique, so every join is balanced.
+    ``key`` must be unique; ``model`` is a fitted PipelineModel that assembles
+    the features itself."""
+    from .order import row_positions
+    spark = df.sparkSession
+    larger = evaluator.isLargerBetter()
+    base = evaluator.evaluate(model.transform(df))
+    pos = row_positions(df.select(key, *features), [key])
+    rows = []
+    for r in range(repeats):
+        h = df.select(key, F.xxhash64(F.col(key), F.lit(seed + r)).alias("_h"))
+        perm = row_positions(h, ["_h", key], out="ppos").select(key, "ppos")
+        mapping = pos.select(key, "pos").join(perm, key)
+        for f in features:
+            donor = pos.select(F.col("pos").alias("ppos"), F.col(f).alias("_v"))
+            shuffled = mapping.join(donor, "ppos").select(key, F.col("_v").alias(f))
+            score = evaluator.evaluate(model.transform(df.drop(f).join(shuffled, key)))
+            rows.append((f, r, float(base - score) if larger else float(score - base)))
+    out = spark.createDataFrame(rows, "feature string, repeat int, importance double")
+    return out.groupBy("feature").agg(F.avg("importance").alias("mean_importance"),
+                                      F.stddev_samp("importance").alias("std_importance"))
+
+
+def top_coefficients(model, feature_names: Sequence[str], n: int = 5) -> DataFrame:
+    """Top-``n`` coefficients by magnitude per class of a fitted
+    (multinomial) logistic regression, with feature names. The coefficient
+    matrix is classes x features, i.e. model-sized, not data-sized."""
+    from .order import top_n_per_group
+    cm = model.coefficientMatrix.toArray()
+    rows = [(int(c), str(feature_names[j]), float(cm[c, j])) for c in range(cm.shape[0]) for j in range(cm.shape[1])]
+    from pyspark.sql import SparkSession
+    sp = SparkSession.getActiveSession()
+    long = sp.createDataFrame(rows, "class int, feature string, coef double")
+    return top_n_per_group(long, ["class"], [F.abs("coef").desc(), F.col("feature")], n, rank_col="rank")

@@ -504,3 +504,23 @@ def z03(spark, sf_dir):
     a = MD.cross_validate(lr, MD.param_maps(lr, grid_maps), d, ev, fold_col="fold", parallelism=2)
     b = MD.cross_validate(lr, MD.param_maps(lr, rand_maps), d, ev, fold_col="fold", parallelism=2)
     return MD.cv_results_table(spark, a, grid_maps, "grid").unionByName(MD.cv_results_table(spark, b, rand_maps, "random"))
+
+
+@plan("a18_permutation_importance", "A18,Q01")
+def a18(spark, sf_dir):
+    from .columns_plans import PRIORITY_RANK, orders_customers
+    from ..functions import columns as C
+    oc = C.ordinal_map(orders_customers(Tables(spark, sf_dir)), "o_orderpriority", PRIORITY_RANK, out="prio")
+    d = oc.select("o_orderkey", "c_acctbal", F.col("c_nationkey").cast("double").alias("c_nationkey"),
+                  F.coalesce(F.col("prio"), F.lit(5)).cast("double").alias("prio"), F.col("o_totalprice").alias("label"))
+    feats = ["c_acctbal", "c_nationkey", "prio"]
+    model = Pipeline(stages=[VectorAssembler(inputCols=feats, outputCol="features"),
+                             MD.make_estimator("decision_tree_regressor", labelCol="label", maxDepth=4)]).fit(d)
+    return MD.permutation_importance(model, d, "o_orderkey", feats, RegressionEvaluator(metricName="rmse"), repeats=2)
+
+
+@plan("a19_top_coefficients_per_class", "A19,A03,O03")
+def a19(spark, sf_dir):
+    e = CL.as_vectors(Tables(spark, sf_dir).embeddings, "embedding").withColumn("label", F.col("label").cast("double"))
+    m = MD.make_estimator("logistic_regression", maxIter=30, family="multinomial").fit(e)
+    return MD.top_coefficients(m, [f"e{i}" for i in range(64)], n=5)
