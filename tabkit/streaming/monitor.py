@@ -38,7 +38,9 @@ def utc_instant(ts: str | Column, spark: SparkSession) -> Column:
     """TIMESTAMP_NTZ wall clock read as UTC -> TIMESTAMP (watermarks need it)."""
     c = F.col(ts) if isinstance(ts, str) else ts
     tz = spark.conf.get("spark.sql.session.timeZone")
-    return F.to_utc_timestamp(c.cast("timestamp"), tz)
+    # UTC wall clock -> the same instant's wall clock in the session zone ->
+    # TIMESTAMP (the cast reads wall clocks in the session zone)
+    return F.convert_timezone(F.lit("UTC"), F.lit(tz), c.cast("timestamp_ntz")).cast("timestamp")
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:

@@ -269,3 +269,15 @@ def test_model_factory_unknown_name():
     with pytest.raises(ValueError):
         MD.make_estimator("no_such_model")
     assert MD.make_estimator("ridge").getRegParam() == 1.0
+
+
+def test_event_time_is_session_zone_independent(spark):
+    from tabkit.streaming.monitor import utc_instant
+    df = spark.createDataFrame([("2024-01-01 00:00:07",)], "s string").select(F.to_timestamp_ntz("s").alias("ts"))
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("UTC", "America/Los_Angeles", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            assert df.select(F.unix_seconds(utc_instant("ts", spark))).first()[0] == 1704067207
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
