@@ -274,14 +274,14 @@ def random_fourier(df: DataFrame, col: str, dim_in: int, dim_out: int = 100, gam
 
 
 def lda_projection(df: DataFrame, col: str, label: str, k: int | None = None) -> tuple[DataFrame, np.ndarray]:
-    """V-F15: Fisher discriminant directions from class means (one grouped
-    ``Summarizer`` pass) and the pooled within-class covariance of class-centred
-    vectors (``RowMatrix.computeCovariance``, a distributed tree aggregate);
-    the d x d eigenproblem is solved on the driver."""
-    from pyspark.ml.functions import array_to_vector, vector_to_array
-    from pyspark.ml.stat import Summarizer
-    from pyspark.mllib.linalg.distributed import RowMatrix
-    from pyspark.mllib.linalg import Vectors as MV
+    """V-F15: Fisher discriminant directions. Class means come from one grouped
+    ``Summarizer`` pass; the total covariance from ``Correlation`` and
+    ``Summarizer.variance`` (JVM-side tree aggregates, no per-row Python); the
+    pooled within-class scatter is ``S_w = (n-1) Cov_total - S_b`` with
+    ``S_b = sum_c n_c (mu_c - mu)(mu_c - mu)^T``. Only d x d matrices and k
+    class means reach the driver, which solves the small eigenproblem."""
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.stat import Correlation, Summarizer
     vec = df.select(label, array_to_vector(F.col(col).cast("array<double>")).alias("v"))
     means = vec.groupBy(label).agg(Summarizer.mean(F.col("v")).alias("m"), F.count(F.lit(1)).alias("n")).collect()
     mu = {r[label]: r["m"].toArray() for r in means}
@@ -290,14 +290,14 @@ def lda_projection(df: DataFrame, col: str, label: str, k: int | None = None) ->
     gm = sum(ns[c] * mu[c] for c in mu) / n
     d = len(gm)
     sb = sum(ns[c] * np.outer(mu[c] - gm, mu[c] - gm) for c in mu)
-    mu_b = df.sparkSession.sparkContext.broadcast({k_: v.tolist() for k_, v in mu.items()})  # k x d numbers
-    centred = vec.rdd.map(lambda r: MV.dense(r["v"].toArray() - np.asarray(mu_b.value[r[label]])))
-    sw = RowMatrix(centred).computeCovariance().toArray() * (n - 1)
+    corr = np.nan_to_num(Correlation.corr(vec, "v").first()[0].toArray())
+    var = vec.select(Summarizer.variance(F.col("v")).alias("s")).first()["s"].toArray()
+    sd = np.sqrt(var)
+    sw = (n - 1) * (corr * np.outer(sd, sd)) - sb
     evals, evecs = np.linalg.eig(np.linalg.pinv(sw) @ sb)
     order = np.argsort(-evals.real)
     kk = k or min(len(mu) - 1, d)
-    wmat = evecs[:, order[:kk]].real
-    wb = wmat.tolist()
+    wb = evecs[:, order[:kk]].real.tolist()
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def project(v: pd.Series) -> pd.Series:
