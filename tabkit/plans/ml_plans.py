@@ -485,7 +485,17 @@ def a17(spark, sf_dir):
         ((F.col("sa") + (F.lit(float(n_docs)) - F.col("nz")) * F.abs(F.col("coef") * mean)) / F.lit(float(n_docs))).alias("mean_abs"),
         F.lit(0.0).alias("mean_signed"),
         F.when(F.col("coef") > 0, "positive").otherwise("negative").alias("direction"))
-    return out.orderBy(F.col("mean_abs").desc(), "term").limit(20)
+    # outcome counts of the same model (threshold 0.5 on the document probability)
+    logit = terms.groupBy("doc_id").agg((F.sum(F.col("tf") * F.col("coef")) + F.lit(intercept)).alias("z"))
+    scored = lab.select("doc_id", "quality").join(logit, "doc_id", "left") \
+        .withColumn("pred", (F.coalesce(F.col("z"), F.lit(intercept)) > 0).cast("int"))
+    oc = scored.agg(F.count_if((F.col("pred") == 1) & (F.col("quality") == 1)).alias("true_positives"),
+                    F.count_if((F.col("pred") == 0) & (F.col("quality") == 1)).alias("false_negatives"),
+                    F.count_if((F.col("pred") == 1) & (F.col("quality") == 0)).alias("false_positives"),
+                    F.count_if(F.col("quality") == 1).alias("total_positive")).first()
+    top = out.orderBy(F.col("mean_abs").desc(), "term").limit(20)
+    return top.select("*", *[F.lit(int(oc[k])).cast("long").alias(k) for k in
+                             ("true_positives", "false_negatives", "false_positives", "total_positive")])
 
 
 @plan("z03_z04_z05_search", "Z03,Z04,Z05,A03")
