@@ -19,7 +19,6 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def as_vectors(df: DataFrame, col: str, out: str = "features") -> DataFrame:

@@ -13,12 +13,10 @@ import math
 import random
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import Evaluator, RegressionEvaluator
+from pyspark.ml.evaluation import Evaluator
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.bins import equal_width_bucket
 from ..functions.columns import scalars
 
 # ---------------------------------------------------------------- A01 factory

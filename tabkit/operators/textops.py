@@ -9,7 +9,6 @@ the shuffle. Top-N selection is ``TakeOrderedAndProject`` (global) or
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window

@@ -3,8 +3,6 @@ plus the flagship pivot (S03 -> P01/P02/P08 -> G10)."""
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import functions as F
 
 from ..functions import bins as B

@@ -3,10 +3,8 @@ parts of model search (Z02, Z06-Z09)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions import bins as B
 from ..operators import cost as CO
 from ..operators import metrics as M
 from ..operators import models as MD

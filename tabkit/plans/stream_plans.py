@@ -6,9 +6,8 @@ import os
 
 from pyspark.sql import functions as F
 
-from ..functions.columns import scalars
 from ..streaming import monitor as MO
-from .registry import Tables, plan, rnd, round_all
+from .registry import Tables, plan, round_all
 
 
 def _type_means(ev):
@@ -65,7 +64,6 @@ def r01s(spark, sf_dir):
 
 @plan("r03_quality_stream", "R03,S10")
 def r03(spark, sf_dir):
-    from .quality_plans import SUITE
     ev = Tables(spark, sf_dir).events
     suite = [{"type": "row_count_between", "min": 1, "max": 1000000000},
              {"type": "not_null", "column": "event_id"},
