@@ -49,10 +49,11 @@ def make_estimator(name: str, **params):
     return cls(**defaults)
 
 
-def one_vs_rest(estimator):
-    """Multi-class wrapper for binary-only estimators (LinearSVC, GBT)."""
+def one_vs_rest(estimator, parallelism: int = 4):
+    """Multi-class wrapper for binary-only estimators (LinearSVC, GBT);
+    the per-class fits are submitted ``parallelism`` at a time."""
     from pyspark.ml.classification import OneVsRest
-    return OneVsRest(classifier=estimator)
+    return OneVsRest(classifier=estimator, parallelism=parallelism)
 
 
 def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:

@@ -331,11 +331,11 @@ def a03(spark, sf_dir):
     tr, te = e.where(F.col("split") == "train"), e.where(F.col("split") == "test")
     rows = [
         _fit_eval(spark, MD.make_estimator("logistic_regression", maxIter=50, weightCol="weight"), "logistic_balanced", tr, te),
-        _fit_eval(spark, MD.one_vs_rest(MD.make_estimator("linear_svc", maxIter=30)), "linear_svc_ovr", tr, te),
+        _fit_eval(spark, MD.one_vs_rest(MD.make_estimator("linear_svc", maxIter=15)), "linear_svc_ovr", tr, te),
         _fit_eval(spark, MD.make_estimator("decision_tree", maxDepth=5), "decision_tree", tr, te),
-        _fit_eval(spark, MD.make_estimator("random_forest", numTrees=20, seed=13), "random_forest", tr, te),
-        _fit_eval(spark, MD.one_vs_rest(MD.make_estimator("gbt", maxIter=5, maxDepth=3)), "gbt_ovr", tr, te),
-        _fit_eval(spark, MD.make_estimator("mlp", layers=[64, 32, 10], maxIter=30, seed=13), "mlp", tr, te),
+        _fit_eval(spark, MD.make_estimator("random_forest", numTrees=10, seed=13), "random_forest", tr, te),
+        _fit_eval(spark, MD.one_vs_rest(MD.make_estimator("gbt", maxIter=3, maxDepth=3)), "gbt_ovr", tr, te),
+        _fit_eval(spark, MD.make_estimator("mlp", layers=[64, 32, 10], maxIter=20, seed=13), "mlp", tr, te),
     ]
     return spark.createDataFrame(rows, "model string, accuracy double")
 
