@@ -534,3 +534,18 @@ def a19(spark, sf_dir):
     e = CL.as_vectors(Tables(spark, sf_dir).embeddings, "embedding").withColumn("label", F.col("label").cast("double"))
     m = MD.make_estimator("logistic_regression", maxIter=30, family="multinomial").fit(e)
     return MD.top_coefficients(m, [f"e{i}" for i in range(64)], n=5)
+
+
+@plan("l05_calinski_harabasz", "L05", """
+WITH u AS (SELECT label, generate_subscripts(embedding, 1) AS i, unnest(embedding)::DOUBLE AS e FROM embeddings),
+cs AS (SELECT label, i, sum(e) AS s, count(*) AS n FROM u GROUP BY 1, 2),
+gm AS (SELECT i, sum(s) / sum(n) AS g FROM cs GROUP BY 1),
+b AS (SELECT sum(n * pow(s / n - g, 2)) AS b FROM cs JOIN gm USING (i)),
+w AS (SELECT (SELECT sum(e * e) FROM u) - sum(s * s / n) AS w FROM cs),
+k AS (SELECT count(DISTINCT label) AS k, (SELECT count(*) FROM embeddings) AS n FROM embeddings)
+SELECT round((b / (k - 1)) / (w / (n - k)), 6) AS calinski_harabasz, CAST(k AS BIGINT) AS n_clusters FROM b, w, k""")
+def l05ch(spark, sf_dir):
+    e = Tables(spark, sf_dir).embeddings.withColumn("_arr", F.col("embedding").cast("array<double>"))
+    ch = CL.calinski_harabasz(e, "_arr", "label")
+    k = e.select("label").distinct().count()
+    return spark.createDataFrame([(round(float(ch), 6), int(k))], "calinski_harabasz double, n_clusters long")
