@@ -84,7 +84,11 @@ def contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_col
     alignments the one with most matches counts, then the first. Null texts are
     empty; items or documents of fewer than ``window`` words match nothing;
     repeated rows each get their row; repeated items with one id count once."""
-    src = located(docs)
+    return _contaminated(located(docs), items, window, id_col, text_col, item_col, item_text_col)
+
+
+def _contaminated(src: DataFrame, items: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
+                  item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     bench = items.select(F.col(f"`{item_col}`").alias("item_id"), F.col(f"`{item_text_col}`").alias("text")).where(
         F.col("item_id").isNotNull()).distinct()
     usable = window_hashes(bench, F.col("text"), window)
@@ -130,7 +134,5 @@ def contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_col
 def drop_contaminated(docs: DataFrame, items: DataFrame, **names: str) -> DataFrame:
     """``docs`` without the rows that hold an item, columns as given."""
     src = located(docs)
-    gone = land(contaminated(docs, items, **names).select(F.col("loc").alias(LOC)).distinct(), "contaminated")
-    if src.columns == docs.columns:
-        raise ValueError(f"the column name {LOC} is reserved")
+    gone = land(_contaminated(src, items, **names).select(F.col("loc").alias(LOC)).distinct(), "contaminated")
     return src.join(gone.hint("shuffle_hash"), LOC, "left_anti").select(*pick(*docs.columns))

@@ -135,7 +135,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Learn a lexicon from the labelled rows that are not held out, at most
     ``max_rows`` of them (the first by a hash of the id). Ids with several
     labels take the largest; rows without id or label are not used. Without
-    both classes the lexicon is empty and every score low."""
+    both classes, or without entries of enough evidence, the lexicon is empty and
+    every score low."""
     ids = F.col(f"`{id_col}`")
     chosen = (labels.where(ids.isNotNull() & F.col(f"`{label_col}`").isNotNull() & ~held_out(ids))
               .groupBy(ids.alias("id")).agg(F.max(F.col(f"`{label_col}`").cast("int")).alias("toxic"))
@@ -172,6 +173,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                  .orderBy(F.desc("neg"), "entry").limit(MAX_EXCEPTIONS).collect())
         spare = tuple(r["entry"] for r in found if any(r["entry"].startswith(s) for s in stems))
     lexicon = Lexicon(words, stems, tuple(dict.fromkeys([*(fold(e) for e in exceptions), *spare])))
+    if not words and not stems:
+        return lexicon
     fitted = sample.mapInArrow(_matcher(lexicon, ["toxic"]), "toxic int, weight double, hits long, words long")
     # one row for each training document, so at most max_rows
     x = fitted.select("toxic", "weight", "words").toPandas()
@@ -180,14 +183,13 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def _logistic(x, y, ridge: float = 1.0, steps: int = 50) -> tuple[float, float, float]:
-    """Ridge logistic regression with equal class weight, by Newton steps."""
+    """Ridge logistic regression by Newton steps."""
     x, y = np.column_stack([np.ones(len(y)), np.asarray(x, float)]), np.asarray(y, float)
-    weight = np.where(y == 1, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9))
     beta, penalty = np.zeros(3), ridge * np.diag([0.0, 1.0, 1.0])
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        grad = x.T @ (weight * (y - p)) - penalty @ beta
-        hess = (x * (weight * p * (1 - p) + 1e-9)[:, None]).T @ x + penalty
+        grad = x.T @ (y - p) - penalty @ beta
+        hess = (x * (p * (1 - p) + 1e-9)[:, None]).T @ x + penalty
         step = np.linalg.solve(hess, grad)
         beta += step
         if np.abs(step).max() < 1e-8:
