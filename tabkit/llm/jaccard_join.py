@@ -197,8 +197,9 @@ def least_overlap(n):
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Index entries (hash, node, n, level, matches, alone) of each node. Level l
-    entries belong to the prefixes that need l or more matches."""
+    """Index entries (hash, node, n, pos, matches, alone) of each node: pos is
+    the shingle's place in the node's order, unshared shingles first. They reach
+    as far as the longest prefix that any partner and any l may ask for."""
     for b in batches:
         out = [[], [], [], [], [], []]
         for node, n, items in zip(b.column("node").to_pylist(), b.column("n").to_pylist(), b.column("items"),
@@ -221,13 +222,13 @@ def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out[0].append(h[:k])
             out[1].append(np.full(k, node, np.int64))
             out[2].append(np.full(k, n, np.int64))
-            out[3].append(np.maximum(1, np.arange(k) - base + 2))
+            out[3].append(alone + np.arange(k))
             out[4].append(np.full(k, matches, np.int64))
             out[5].append(np.full(k, alone / n))
         cat = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in out]
         yield pa.RecordBatch.from_arrays(
             [pa.array(c.astype(np.float64 if i == 5 else np.int64)) for i, c in enumerate(cat)],
-            names=["hash", "node", "n", "level", "matches", "alone"])
+            names=["hash", "node", "n", "pos", "matches", "alone"])
 
 
 def classes(edges: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -268,6 +269,13 @@ def sized_alike(a: str, b: str):
     return (NUM * F.col(a) <= DEN * F.col(b)) & (NUM * F.col(b) <= DEN * F.col(a))
 
 
+def in_prefixes(n_a: str, pos_a: str, n_b: str, pos_b: str, matches: F.Column):
+    """Both places lie in the prefixes of this pair: with l required matches a
+    set of n reaches to n - overlap + l, for the overlap that the two sizes ask."""
+    need = F.ceil((NUM * (F.col(n_a) + F.col(n_b))) / F.lit(float(NUM + DEN)) - F.lit(1e-9))
+    return (F.col(pos_a) < F.col(n_a) - need + matches) & (F.col(pos_b) < F.col(n_b) - need + matches)
+
+
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE) -> DataFrame:
     """One row per row of ``docs``: id, n_shingles, node (key of its shingle
     set) and component_id, the least id of its class.
@@ -291,18 +299,20 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
              .groupBy("node").agg(F.array_sort(F.collect_set(F.struct("count", "hash"))).alias("items")))
     sets = land(items.join(sizes, "node"), "sets")
     index = land(sets.select("node", "n", "items").mapInArrow(
-        _prefixes, "hash long, node long, n long, level long, matches long, alone double"), "prefixes")
+        _prefixes, "hash long, node long, n long, pos long, matches long, alone double"), "prefixes")
     nodes = index.select("node").distinct()
     labels = land(nodes.withColumn("label", F.col("node")), "labels")
     links = None
     for k in range(LEADER_ROUNDS):
-        short = index.where("level = 1").join(labels, "node")
+        short = index.join(labels, "node")
         # first the node with the fewest shingles of its own, then any, by a hash of the round
         rank = F.struct(*([F.col("alone")] if k == 0 else []), F.xxhash64("node", F.lit(k)).alias("mix"),
-                        F.col("node").alias("leader"), F.col("n").alias("n_leader"), F.col("label").alias("l_leader"))
+                        F.col("node").alias("leader"), F.col("n").alias("n_leader"), F.col("pos").alias("p_leader"),
+                        F.col("label").alias("l_leader"))
         lead = (short.groupBy("hash").agg(F.min(rank).alias("lead"), F.min("label").alias("lo"), F.max("label").alias("hi"))
                 .where("lo <> hi").select("hash", "lead.*"))
-        pairs = (short.join(lead, "hash").where((F.col("label") != F.col("l_leader")) & sized_alike("n", "n_leader"))
+        pairs = (short.join(lead, "hash").where((F.col("label") != F.col("l_leader")) & sized_alike("n", "n_leader")
+                                                & in_prefixes("n", "pos", "n_leader", "p_leader", F.lit(1)))
                  .select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct())
         new = land(verified(pairs, sets), "links")
         if new.isEmpty():
@@ -311,13 +321,12 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         labels = land(classes(links, nodes), "labels")
     # every pair of different classes that the prefixes leave possible
     split = index.join(labels, "node")
-    probe = split.where("level <= matches").select(
-        "hash", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("l_a"), "matches")
-    other = split.select("hash", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("l_b"), "level")
+    side = lambda c: [F.col(x).alias(f"{y}{c}") for x, y in (("node", ""), ("n", "n_"), ("label", "l_"), ("pos", "p_"))]
+    probe, other = split.select("hash", "matches", *side("a")), split.select("hash", *side("b"))
     mixed = split.groupBy("hash").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("hash")
     rest = (probe.join(mixed, "hash", "left_semi").join(other, "hash")
-            .where((F.col("a") < F.col("b")) & (F.col("l_a") != F.col("l_b")) & (F.col("level") <= F.col("matches"))
-                   & sized_alike("n_a", "n_b"))
+            .where((F.col("a") < F.col("b")) & (F.col("l_a") != F.col("l_b")) & sized_alike("n_a", "n_b")
+                   & in_prefixes("n_a", "p_a", "n_b", "p_b", F.col("matches")))
             .groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.first("matches").alias("matches"))
             .where("shared >= matches"))
     new = land(verified(rest, sets), "links")
