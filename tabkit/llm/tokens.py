@@ -2,17 +2,21 @@
 
 Two kinds of tokenizer split a text at places that no token crosses; there each
 distinct piece is encoded once and its ids are kept in a bounded cache of the
-Python worker. All other tokenizers and texts are encoded whole. Ids equal
-those of encoding the whole text.
+Python worker. Pieces of a byte-level tokenizer are encoded by tiktoken from the
+same file's vocabulary, whose ids are the ranks; all other tokenizers, texts
+with special tokens, and new words go through ``tokenizers``. Ids equal those of
+encoding the whole text with ``tokenizers``.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 
 #: Pieces kept by one worker; rarer pieces are encoded again.
 MAX_PIECES = 300_000
+MAX_STEMS = 600_000
 #: Characters of text handled at once.
 GROUP_CHARS = 2_000_000
 
@@ -23,6 +27,8 @@ CUTS = {"byte_bpe_50k.json": LEADING_SPACE, "word_bpe_49k.json": WHITE_SPACE}
 
 ODD_SPACE = re.compile(r" (?:\s|\Z)")
 CUT = re.compile(r"(?= \S)")
+#: A word of Latin letters and closing marks: two tokens' places, case ignored.
+SIMPLE = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([.,;:!?]*)")
 #: Python counts these as white space, the tokenizers' patterns do not.
 SEPARATORS = re.compile("[\x1c-\x1f]")
 
@@ -49,6 +55,8 @@ class Encoder:
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.heads, self.rests = _Pieces(), _Pieces()
+        self.stems: dict[str, bytes] = {}
+        self.ranked = byte_level(path) if self.cut == LEADING_SPACE else None
 
     @property
     def dtype(self) -> str:
@@ -74,12 +82,27 @@ class Encoder:
         first, *rest = text.split(" ")
         return [first], rest
 
+    def _batch(self, texts: list[str]) -> list[bytes]:
+        if self.ranked is not None:
+            return [self._bytes(self.ranked.encode_ordinary(t)) for t in texts]
+        return [self._bytes(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
     def _learn(self, cache: _Pieces, wanted: set[str], lead: str) -> None:
         cache.extra.clear()
         new = [w for w in wanted if w not in cache]
-        got = self.tokenizer.encode_batch_fast([lead + w for w in new], add_special_tokens=False)
-        for w, e in zip(new, got, strict=True):
-            (cache if len(cache) < MAX_PIECES else cache.extra)[w] = self._bytes(e.ids)
+        keep = cache if len(cache) < MAX_PIECES else cache.extra
+        if self.cut == WHITE_SPACE:
+            # new words share their letters with words of other case or marks
+            cut = {w: m.groups() for w in new if (m := SIMPLE.fullmatch(w))}
+            parts = [x for x in {y for a, b in cut.values() for y in (a.lower(), b)} if x and x not in self.stems]
+            got = dict(zip(parts, self._batch(parts), strict=True))
+            find = lambda x: got[x] if x in got else self.stems[x]
+            for w, (a, b) in cut.items():
+                keep[w] = find(a.lower()) + find(b) if b else find(a.lower())
+            if len(self.stems) < MAX_STEMS:
+                self.stems.update(got)
+            new = [w for w in new if w not in cut]
+        keep.update(zip(new, self._batch([lead + w for w in new]), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian bytes of ``dtype``."""
@@ -105,6 +128,20 @@ class Encoder:
         return out
 
 
+def byte_level(path: str):
+    """tiktoken over the vocabulary of a byte-level file: a token's id is its rank."""
+    import public_tokenizers
+    import tiktoken
+    with open(path, encoding="utf-8") as f:
+        vocab = json.load(f)["model"]["vocab"]
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    byte = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
+    ranks = {bytes(byte[c] for c in w): i for w, i in vocab.items() if all(c in byte for c in w) and not w.startswith("<|")}
+    return tiktoken.Encoding(os.path.basename(path), pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
+                             special_tokens={})
+
+
 def encoder(path: str) -> Encoder:
     """The worker's encoder of a file, loaded once."""
     if path not in _loaded:
