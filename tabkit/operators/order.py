@@ -23,6 +23,7 @@ import json
 import math
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -72,14 +73,16 @@ def _partition_summary(group_cols: list[str], weight: str):
 
 def _running_sum_batches(group_cols: list[str], weight: str, out: str, offsets: dict):
     """Per-partition running sum that continues across Arrow batches; the
-    partition's first group starts at its offset from earlier partitions."""
+    partition's first group starts at its offset from earlier partitions. Only
+    keys and weight become pandas columns; the rows themselves stay Arrow, so
+    that null, large-integer and decimal columns pass unchanged."""
 
     def fn(batches):
         carry_key, carry_val, first_key, off = None, 0, None, 0
-        for pdf in batches:
-            if pdf.empty:
-                yield pdf.assign(**{out: pd.Series(dtype=pdf[weight].dtype)})
+        for batch in batches:
+            if not batch.num_rows:
                 continue
+            pdf = batch.select(list(dict.fromkeys([*group_cols, "_pid", weight]))).to_pandas()
             if first_key is None:
                 off = offsets.get(int(pdf["_pid"].iloc[0]), 0)
             w = pdf[weight]
@@ -104,7 +107,8 @@ def _running_sum_batches(group_cols: list[str], weight: str, out: str, offsets:
                     cum = cum + carry_val
                 carry_key = "[]"
             carry_val = cum.iloc[-1]
-            yield pdf.assign(**{out: cum.values})
+            total = pa.array(cum.values).cast(batch.schema.field(weight).type)
+            yield pa.RecordBatch.from_arrays([*batch.columns, total], names=[*batch.schema.names, out])
 
     return fn
 
@@ -133,13 +137,15 @@ def prefix_sum(df: DataFrame, order_cols: Sequence[str | Column], weight: str |
         wcol = "_one"
         df = df.withColumn(wcol, F.lit(1).cast("long"))
     wtype = df.schema[wcol].dataType
+    # a null weight adds nothing
+    df = df.withColumn("_w0", F.coalesce(F.col(wcol), F.lit(0).cast(wtype)))
     ensure_checkpoint_dir(spark)
     # ranges: the configured shuffle partitions, but not more than two per core
     # (a 200-partition default on 8 local cores only adds task overhead)
     n = num_partitions or max(1, min(shuffle_partitions(spark), 2 * spark.sparkContext.defaultParallelism))
     part = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
             .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
-    summ = part.mapInPandas(_partition_summary(g, wcol),
+    summ = part.mapInPandas(_partition_summary(g, "_w0"),
                             "_pid int, first string, last string, tail double, single boolean").collect()
     integral = isinstance(wtype, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))
     offsets, run_key, run_sum = {}, None, 0
@@ -152,8 +158,8 @@ def prefix_sum(df: DataFrame, order_cols: Sequence[str | Column], weight: str |
         else:
             run_key, run_sum = r["last"], tail
     schema = T.StructType(part.schema.fields + [T.StructField(out, wtype, True)])
-    res = part.mapInPandas(_running_sum_batches(g, wcol, out, offsets), schema)
-    drop = ["_pid"] + (["_one"] if weight is None else [])
+    res = part.mapInArrow(_running_sum_batches(g, "_w0", out, offsets), schema)
+    drop = ["_pid", "_w0"] + (["_one"] if weight is None else [])
     return res.drop(*drop)
 
 
@@ -182,9 +188,12 @@ def ntile_from_position(pos: Column, n: Column, k: int) -> Column:
 def value_positions(df: DataFrame, value_col: str, group_cols: Sequence[str] = (),
                     num_partitions: int | None = None) -> DataFrame:
     """Distinct ``(group, value)`` with count ``n`` and 1-based positions
-    ``pos_start``/``pos_end`` in the ascending sort of the group's non-null values."""
+    ``pos_start``/``pos_end`` in the ascending sort of the group's values; null and NaN are no values."""
     g = list(group_cols)
-    cnt = (df.where(F.col(value_col).isNotNull() & F.lit(True))
+    present = F.col(value_col).isNotNull()
+    if isinstance(df.schema[value_col].dataType, (T.DoubleType, T.FloatType)):
+        present = present & ~F.isnan(value_col)
+    cnt = (df.where(present)
            .groupBy(*g, value_col).agg(F.count(F.lit(1)).alias("n")))
     for c in g:
         cnt = cnt.where(F.col(c).isNotNull())

@@ -40,3 +40,23 @@ def test_grouped_prefix_sum_matches_pandas(spark, seed, n, parts):
     want = pdf.sort_values(["g", "t"]).assign(c=lambda d: d.groupby("g")["w"].cumsum())
     m = got.merge(want, on=["g", "t"])
     assert len(m) == n and (m["cum"] == m["c"]).all()
+
+
+def test_prefix_sum_after_nulls_and_with_large_integers(spark):
+    big = 2 ** 60 + 1
+    rows = [(t, None if t in (4, 5) else 1, None if t % 3 == 0 else big) for t in range(1, 13)]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        df = spark.createDataFrame(rows, "t int, w long, k long")
+        got = O.prefix_sum(df, ["t"], "w", num_partitions=1).orderBy("t").collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert [r["cum"] for r in got] == [1, 2, 3, 3, 3, 4, 5, 6, 7, 8, 9, 10]
+    assert [r["k"] for r in got] == [r[2] for r in rows]
+
+
+def test_quantiles_leave_out_nan_and_null(spark):
+    df = spark.createDataFrame([(0.0,), (float("nan"),), (1.0,), (2.0,), (None,)], "x double")
+    r = O.exact_quantiles(df, "x", [0.5, 1.0]).first()
+    assert (r["q_0"], r["q_1"]) == (1.0, 2.0)
