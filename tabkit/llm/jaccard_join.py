@@ -9,7 +9,9 @@
    share at least l shingles of their (n - o + l)-prefixes, for any l. Each node
    picks its own l: a longer prefix is scanned, but more shared prefix shingles
    are required; the expected candidates with l matches are at most the sum of
-   counts divided by l (Markov), which gives the cost to minimise.
+   counts divided by l (Markov), which gives the cost to minimise. The first of
+   those shingles lies in both 1-prefixes, so pairs are made from these and the
+   longer prefixes are compared once a pair.
 3. Leader rounds link the nodes of a prefix bucket to one leader and merge
    classes, a linear number of pairs. Then every remaining pair of different
    classes is generated through the prefixes and verified. Pairs inside a class
@@ -272,10 +274,21 @@ def sized_alike(a: str, b: str):
 def in_prefixes(n_a: str, pos_a: str, n_b: str, pos_b: str, matches: F.Column):
     """Both places lie in the prefixes of this pair: with l required matches a
     set of n reaches to n - overlap + l, for the overlap that the two sizes ask."""
-    need = F.ceil((NUM * (F.col(n_a) + F.col(n_b))) / F.lit(float(NUM + DEN)) - F.lit(1e-9))
+    need = pair_overlap(n_a, n_b)
     return (F.col(pos_a) < F.col(n_a) - need + matches) & (F.col(pos_b) < F.col(n_b) - need + matches)
 
 
+def pair_overlap(n_a: str, n_b: str):
+    """Overlap that linked sets of these two sizes have at least."""
+    return F.ceil((NUM * (F.col(n_a) + F.col(n_b))) / F.lit(float(NUM + DEN)) - F.lit(1e-9))
+
+
+def prefix(reach: str, n: str, n_a: str, n_b: str):
+    """Hashes of the prefix with ``matches`` required matches for this pair."""
+    end = F.col(n) - pair_overlap(n_a, n_b) + F.col("matches")
+    return F.transform(F.filter(reach, lambda x: x["pos"] < end), lambda x: x["hash"])
+
+
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE) -> DataFrame:
     """One row per row of ``docs``: id, n_shingles, node (key of its shingle
     set) and component_id, the least id of its class.
@@ -324,11 +337,16 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     side = lambda c: [F.col(x).alias(f"{y}{c}") for x, y in (("node", ""), ("n", "n_"), ("label", "l_"), ("pos", "p_"))]
     probe, other = split.select("hash", "matches", *side("a")), split.select("hash", *side("b"))
     mixed = split.groupBy("hash").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("hash")
-    rest = (probe.join(mixed, "hash", "left_semi").join(other, "hash")
+    # a linked pair meets in its 1-prefixes already; the longer prefixes are compared once for each such pair
+    meet = (probe.join(mixed, "hash", "left_semi").join(other, "hash")
             .where((F.col("a") < F.col("b")) & (F.col("l_a") != F.col("l_b")) & sized_alike("n_a", "n_b")
-                   & in_prefixes("n_a", "p_a", "n_b", "p_b", F.col("matches")))
-            .groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.first("matches").alias("matches"))
-            .where("shared >= matches"))
+                   & in_prefixes("n_a", "p_a", "n_b", "p_b", F.lit(1)))
+            .select("a", "b", "n_a", "n_b", "matches").distinct())
+    reach = index.groupBy("node").agg(F.collect_list(F.struct("pos", "hash")).alias("reach"))
+    end = lambda c: reach.select(F.col("node").alias(c), F.col("reach").alias(f"r_{c}"))
+    rest = (meet.join(end("a"), "a").join(end("b"), "b")
+            .where(F.size(F.array_intersect(prefix("r_a", "n_a", "n_a", "n_b"), prefix("r_b", "n_b", "n_a", "n_b")))
+                   >= F.col("matches")))
     new = land(verified(rest, sets), "links")
     if not new.isEmpty():
         labels = classes(new if links is None else links.unionByName(new), nodes)
