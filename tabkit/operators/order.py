@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import scalars
-from ..session import ensure_checkpoint_dir, shuffle_partitions
+from ..session import ensure_checkpoint_dir
 
 
 def _key_of(row_vals) -> str:
@@ -140,10 +140,10 @@ def prefix_sum(df: DataFrame, order_cols: Sequence[str | Column], weight: str |
     # a null weight adds nothing
     df = df.withColumn("_w0", F.coalesce(F.col(wcol), F.lit(0).cast(wtype)))
     ensure_checkpoint_dir(spark)
-    # ranges: the configured shuffle partitions, but not more than two per core
-    # (a 200-partition default on 8 local cores only adds task overhead)
-    n = num_partitions or max(1, min(shuffle_partitions(spark), 2 * spark.sparkContext.defaultParallelism))
-    part = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    # ranges: the caller's count, else the configured shuffle partitions, which
+    # adaptive execution coalesces by size; never the number of cores
+    ranged = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
+    part = (ranged.sortWithinPartitions(*keys)
             .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
     summ = part.mapInPandas(_partition_summary(g, "_w0"),
                             "_pid int, first string, last string, tail double, single boolean").collect()

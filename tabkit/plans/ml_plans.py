@@ -271,7 +271,7 @@ def l05(spark, sf_dir):
 @plan("l06_prototype_anomalies", "L06,J01")
 def l06(spark, sf_dir):
     e = Tables(spark, sf_dir).embeddings
-    flagged = CL.prototype_anomalies(e, "vec_id", "embedding", k=50, neighbours=4, threshold=0.8)
+    flagged = CL.prototype_anomalies(e, "vec_id", "embedding", k=132, neighbours=4, threshold=0.8)
     return flagged.join(e.select("vec_id", "label"), "vec_id", "left")
 
 
@@ -509,7 +509,7 @@ def z03(spark, sf_dir):
     lr = MD.make_estimator("logistic_regression", maxIter=20)
     space = {"regParam": ("log", 0.001, 1.0), "elasticNetParam": ("float", 0.0, 1.0)}
     grid_maps = MD.grid_from_space(space)
-    rand_maps = MD.random_draws(space, 4, seed=13)
+    rand_maps = MD.random_draws(space, 10, seed=13)
     ev = MD.CostEvaluator(fn_cost=10.0, fp_cost=1.0)
     a = MD.cross_validate(lr, MD.param_maps(lr, grid_maps), d, ev, fold_col="fold", parallelism=2)
     b = MD.cross_validate(lr, MD.param_maps(lr, rand_maps), d, ev, fold_col="fold", parallelism=2)
@@ -526,7 +526,7 @@ def a18(spark, sf_dir):
     feats = ["c_acctbal", "c_nationkey", "prio"]
     model = Pipeline(stages=[VectorAssembler(inputCols=feats, outputCol="features"),
                              MD.make_estimator("decision_tree_regressor", labelCol="label", maxDepth=4)]).fit(d)
-    return MD.permutation_importance(model, d, "o_orderkey", feats, RegressionEvaluator(metricName="rmse"), repeats=2)
+    return MD.permutation_importance(model, d, "o_orderkey", feats, RegressionEvaluator(metricName="rmse"), repeats=5)
 
 
 @plan("a19_top_coefficients_per_class", "A19,A03,O03")

@@ -46,7 +46,7 @@ def _bigram_sql(t):
 
 
 def _toks(t: Tables, min_len=3):
-    docs = TO.spread_docs(t.documents.select("doc_id", "lang", "text"), "doc_id")
+    docs = t.documents.select("doc_id", "lang", "text")
     return docs.select("doc_id", "lang", TX.tokens("text", min_len=min_len).alias("toks"))
 
 
@@ -125,7 +125,7 @@ def x08(spark, sf_dir):
                       rnd("median", 6).alias("median"))
 
 
-def _tfidf_sql(min_df=3, max_features=5000):
+def _tfidf_sql(min_df=3, max_features=20000):
     toks = TOK_SQL(2)
     return f"""
 WITH t AS (SELECT doc_id, {toks} AS t FROM documents),
@@ -141,7 +141,7 @@ SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 9) A
 @plan("x09_tfidf", "X09", _tfidf_sql())
 def x09(spark, sf_dir):
     d = Tables(spark, sf_dir).documents
-    return TO.tfidf(d, "doc_id", "text", min_df=3, max_features=5000).withColumn("weight", rnd("weight", 9))
+    return TO.tfidf(d, "doc_id", "text", min_df=3, max_features=20000).withColumn("weight", rnd("weight", 9))
 
 
 def _rule_sql():

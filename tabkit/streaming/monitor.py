@@ -22,12 +22,13 @@ from ..session import ensure_checkpoint_dir
 
 @contextmanager
 def state_partitions(spark: SparkSession):
-    """Start a stateful stream with at most two state partitions per core.
-    The number is fixed in the stream's (fresh) checkpoint at start; the
-    session value is restored afterwards."""
+    """Start a stateful stream with ``tabkit.stream.statePartitions`` state
+    partitions, or ``spark.sql.shuffle.partitions`` where that is unset. The
+    number is fixed in the stream's (fresh) checkpoint at start; the session
+    value is restored afterwards."""
     key = "spark.sql.shuffle.partitions"
     old = spark.conf.get(key)
-    spark.conf.set(key, str(max(1, min(int(old), 2 * spark.sparkContext.defaultParallelism))))
+    spark.conf.set(key, spark.conf.get("tabkit.stream.statePartitions", old))
     try:
         yield
     finally:
