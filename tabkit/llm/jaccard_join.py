@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import land, text_bytes
-from .ring import (SLICE_ENTRIES, U64, bucket_slices, buckets_for, cut_runs, mix, pack_hashes, pack_owners,
+from .ring import (U64, bucket_slices, buckets_for, cut_runs, mix, pack_hashes, pack_owners,
                    unpack_hashes, unpack_owners, word_hashes)
 
 SHINGLE = 5
@@ -40,6 +40,8 @@ MAX_MATCHES = 6
 #: Verifying a candidate costs as much as scanning this share of its shingles.
 VERIFY_SHARE = 0.25
 LEADER_ROUNDS = 4
+#: Entries in a slice before it is flushed; two workers and the JVM share an executor.
+SLICE_ENTRIES = 1_000_000
 
 WIRE = ("bucket long, kind int, id {id}, node long, n long, first long, hashes binary, numbers binary, owners binary, "
         "many binary")
@@ -83,9 +85,11 @@ def _count_shingles(buckets: int, size: int):
         def flush() -> dict[str, list]:
             owners = np.array(sorted(nodes), np.int64)
             h = np.concatenate([nodes[o] for o in owners.tolist()])
-            number = np.repeat(np.arange(len(owners)), [len(nodes[o]) for o in owners.tolist()])
+            number = np.repeat(np.arange(len(owners), dtype=np.int32), [len(nodes[o]) for o in owners.tolist()])
+            nodes.clear()
             order = np.argsort(h, kind="stable")
             h, number = h[order], number[order]
+            del order
             starts = cut_runs(h)
             count = np.diff(np.append(starts, len(h)))
             rows = {c: [] for c, _ in _types(pa.null())}
@@ -125,7 +129,7 @@ def _count_shingles(buckets: int, size: int):
             if total >= SLICE_ENTRIES:
                 rows = flush()
                 yield _batch(types, rows, len(rows["kind"]))
-                nodes, total = {}, 0
+                total = 0
         if nodes:
             rows = flush()
             yield _batch(types, rows, len(rows["kind"]))
@@ -298,7 +302,8 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     no shingles and a class of their own. Null ids stay null and never name a
     class that has other ids. Repeated rows get equal rows; an empty table gives
     none. Sets are compared by 64-bit shingle hashes."""
-    buckets = buckets_for(text_bytes(docs, text_col))
+    # an entry takes several arrays in its bucket's task, so buckets are half the usual size
+    buckets = 2 * buckets_for(text_bytes(docs, text_col))
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("binary").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     found = land(rows.mapInArrow(_count_shingles(buckets, size), WIRE.format(id=kind)).groupBy("bucket")
