@@ -1,11 +1,11 @@
-"""Token ids by the ``tokenizers`` library, piece by piece.
-
-Two kinds of tokenizer split a text at places that no token crosses; there each
-distinct piece is encoded once and its ids are kept in a bounded cache of the
-Python worker. Pieces of a byte-level tokenizer are encoded by tiktoken from the
-same file's vocabulary, whose ids are the ranks; all other tokenizers, texts
-with special tokens, and new words go through ``tokenizers``. Ids equal those of
-encoding the whole text with ``tokenizers``.
+"""Token ids by the ``tokenizers`` library, at lower cost.
+
+Texts of a byte-level tokenizer are encoded by tiktoken from the same file's
+vocabulary, whose ids are the ranks. A tokenizer that drops white space is
+given each distinct word once; ids are kept in a bounded cache of the Python
+worker, and plain lower-case words go straight to the tokenizer's model. Texts
+with special tokens or very long white space go through ``tokenizers`` whole.
+Ids equal those of encoding the whole text with ``tokenizers``.
 """
 
 from __future__ import annotations
@@ -13,30 +13,38 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
+from array import array
 
-#: Pieces kept by one worker; rarer pieces are encoded again.
-MAX_PIECES = 300_000
-MAX_STEMS = 600_000
+#: Words kept by one worker; rarer words are encoded again.
+MAX_WORDS = 600_000
 #: Characters of text handled at once.
 GROUP_CHARS = 2_000_000
 
-# Where a text may be cut: before a space that precedes another character
-# (byte-level pieces carry their leading space), or at any white space.
-LEADING_SPACE, WHITE_SPACE = "leading_space", "white_space"
-CUTS = {"byte_bpe_50k.json": LEADING_SPACE, "word_bpe_49k.json": WHITE_SPACE}
-
-ODD_SPACE = re.compile(r" (?:\s|\Z)")
-CUT = re.compile(r"(?= \S)")
-#: A word of Latin letters and closing marks: two tokens' places, case ignored.
-SIMPLE = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([.,;:!?]*)")
+# How a file's texts may be taken apart: as the bytes of ranked tokens, or by words.
+RANKED, WORDS = "ranked", "words"
+KINDS = {"byte_bpe_50k.json": RANKED, "word_bpe_49k.json": WORDS}
+
+# Plain text: ASCII without the separators that only some count as white space,
+# Latin letters whose lower case is one of them too, and common marks. In it the
+# tokenizer's own word pattern needs no Unicode classes.
+LETTERS = "a-z\u00df-\u00f6\u00f8-\u017f"
+PLAIN = re.compile("[\x00-\x1b\x20-\x7f\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f"
+                   "\u2013\u2014\u2018\u2019\u201c\u201d\u2026\u20ac]*")
+#: Fixed value: the word pattern of the file, for plain text in lower case.
+WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^\\s{LETTERS}0-9]+")
+#: Words that this pattern cannot split: letters, or ASCII marks but an apostrophe.
+ONE = re.compile(f"[{LETTERS}]+|[!-&(-/:-@\\[-`{{-~]+")
+#: tiktoken's pattern needs a stack as deep as a run of white space is long.
+LONG_SPACE = re.compile(r"\s{200}")
 #: Python counts these as white space, the tokenizers' patterns do not.
 SEPARATORS = re.compile("[\x1c-\x1f]")
 
 _loaded: dict[str, Encoder] = {}
 
 
-class _Pieces(dict):
-    """Ids of pieces; ``extra`` holds those of the present group only."""
+class _Ids(dict):
+    """Ids of words; ``extra`` holds those of the present group only."""
 
     def __init__(self):
         super().__init__()
@@ -51,61 +59,55 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.cut = CUTS.get(os.path.basename(path))
+        self.kind = KINDS.get(os.path.basename(path))
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.heads, self.rests = _Pieces(), _Pieces()
-        self.stems: dict[str, bytes] = {}
-        self.ranked = byte_level(path) if self.cut == LEADING_SPACE else None
+        self.words = _Ids()
+        self.model = self.tokenizer.model
+        self.ranked = byte_level(path) if self.kind == RANKED else None
 
     @property
     def dtype(self) -> str:
         return "<u4" if self.wide else "<u2"
 
     def _bytes(self, ids: list[int]) -> bytes:
-        import numpy as np
-        return np.array(ids, self.dtype).tobytes()
+        out = array("I" if self.wide else "H", ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
 
     def _whole(self, text: str) -> bytes:
         return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _pieces(self, text: str) -> tuple[list[str], list[str]] | None:
-        """(heads, rests): rests follow a space; None: encode the text whole."""
-        if self.cut is None or any(s in text for s in self.special):
+    def _split(self, text: str) -> list[str] | None:
+        """Words of a text; None: encode it whole."""
+        if any(s in text for s in self.special) or SEPARATORS.search(text):
             return None
-        if self.cut == WHITE_SPACE:
-            return (text.split(), []) if not SEPARATORS.search(text) else None
-        if ODD_SPACE.search(text):
-            first, *rest = CUT.split(text)
-            return ([first], [r[1:] for r in rest]) if not first.startswith(" ") or first[1:2].isspace() or len(
-                first) < 2 else ([], [first[1:], *(r[1:] for r in rest)])
-        first, *rest = text.split(" ")
-        return [first], rest
-
-    def _batch(self, texts: list[str]) -> list[bytes]:
-        if self.ranked is not None:
-            return [self._bytes(self.ranked.encode_ordinary(t)) for t in texts]
-        return [self._bytes(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return WORD.findall(text.lower()) if PLAIN.fullmatch(text) else text.split()
 
-    def _learn(self, cache: _Pieces, wanted: set[str], lead: str) -> None:
+    def _learn(self, wanted: set[str]) -> None:
+        cache, tokenize = self.words, self.model.tokenize
         cache.extra.clear()
-        new = [w for w in wanted if w not in cache]
-        keep = cache if len(cache) < MAX_PIECES else cache.extra
-        if self.cut == WHITE_SPACE:
-            # new words share their letters with words of other case or marks
-            cut = {w: m.groups() for w in new if (m := SIMPLE.fullmatch(w))}
-            parts = [x for x in {y for a, b in cut.values() for y in (a.lower(), b)} if x and x not in self.stems]
-            got = dict(zip(parts, self._batch(parts), strict=True))
-            find = lambda x: got[x] if x in got else self.stems[x]
-            for w, (a, b) in cut.items():
-                keep[w] = find(a.lower()) + find(b) if b else find(a.lower())
-            if len(self.stems) < MAX_STEMS:
-                self.stems.update(got)
-            new = [w for w in new if w not in cut]
-        keep.update(zip(new, self._batch([lead + w for w in new]), strict=True))
+        keep = cache if len(cache) < MAX_WORDS else cache.extra
+        other = []
+        for w in wanted:
+            if w in cache:
+                continue
+            if ONE.fullmatch(w) and w == w.lower():
+                symbols = w if w.isascii() else w.encode().decode("latin-1").translate(SYMBOLS)
+                keep[w] = self._bytes([t.id for t in tokenize(symbols)])
+            else:
+                other.append(w)
+        for w, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
+            keep[w] = self._bytes(e.ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian bytes of ``dtype``."""
+        if self.ranked is not None:
+            return [self._whole(t) if any(s in t for s in self.special) or LONG_SPACE.search(t)
+                    else self._bytes(self.ranked.encode_ordinary(t)) for t in texts]
+        if self.kind is None:
+            return [self._whole(t) for t in texts]
         out: list[bytes] = []
         at = 0
         while at < len(texts):
@@ -114,29 +116,30 @@ class Encoder:
                 group.append(texts[at])
                 size += len(texts[at])
                 at += 1
-            cut = [self._pieces(t) for t in group]
-            heads, rests = set(), set()
-            for c in cut:
-                if c:
-                    heads.update(c[0])
-                    rests.update(c[1])
-            self._learn(self.heads, heads, "")
-            self._learn(self.rests, rests, " ")
-            for t, c in zip(group, cut, strict=True):
-                out.append(self._whole(t) if c is None else b"".join(map(self.heads.__getitem__, c[0])) + b"".join(
-                    map(self.rests.__getitem__, c[1])))
+            split = [self._split(t) for t in group]
+            self._learn({w for ws in split if ws for w in ws})
+            out += [self._whole(t) if ws is None else b"".join(map(self.words.__getitem__, ws))
+                    for t, ws in zip(group, split, strict=True)]
         return out
 
 
+def byte_symbols() -> dict[int, str]:
+    """Byte -> the printable character that stands for it in byte-level files."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
+SYMBOLS = byte_symbols()
+
+
 def byte_level(path: str):
     """tiktoken over the vocabulary of a byte-level file: a token's id is its rank."""
     import public_tokenizers
     import tiktoken
     with open(path, encoding="utf-8") as f:
         vocab = json.load(f)["model"]["vocab"]
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in plain]
-    byte = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
+    byte = {c: b for b, c in SYMBOLS.items()}
     ranks = {bytes(byte[c] for c in w): i for w, i in vocab.items() if all(c in byte for c in w) and not w.startswith("<|")}
     return tiktoken.Encoding(os.path.basename(path), pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
                              special_tokens={})

@@ -208,13 +208,19 @@ def test_ledger_scans_only_unseen_pairs(spark, docs, none):
     assert secrets.blob_scan(none)[0].count() == 0
 
 
-def test_token_pieces_equal_whole_texts(rows):
+def test_encoded_ids_equal_whole_texts(rows):
+    draw = random.Random(7)
+    alphabet = ("abcDEF 0189 \t\n.,;!?'s't\"-_<|>&%#\x00\x1c\x1f\x7f\x85\xa0ÀÉßéüſŒİŉŸı×÷ªµº²½“”’—…€ΣσςДж中文"
+                "\u0301\u200b🙂Ⱥẞﬁ")
+    mixed = ["".join(draw.choices(alphabet, k=draw.randrange(60))) for _ in range(1500)]
+    plain = ["".join(draw.choices("aAeéÉŒœ'tsTSlLmd .,!1\n", k=50)) for _ in range(500)]
     for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
         enc = tokens.Encoder(tokens.default_path(name))
-        texts = [t or "" for _, t, *_ in rows] + [" a", "  a", "a ", "a  b", "\n a", "a \n b", "a\n\n b", " ", "  ", "a b",
-                                                 "x <|endoftext|> y", "it's  we'll\t", "a \x1c b", "5 000,1"]
+        texts = [t or "" for _, t, *_ in rows] + mixed + plain + [
+            " a", "  a", "a ", "a  b", "\n a", "a \n b", "a\n\n b", " ", "  ", "a b", "x <|endoftext|> y", "it's  we'll\t",
+            "a \x1c b", "5 000,1", "a" * 100_000, " " * 1_000_000, "a" + "\n" * 300_000 + "b", "." * 100_000, "é1" * 30_000]
         for t, got in zip(texts, enc.encode(texts), strict=True):
-            assert np.frombuffer(got, enc.dtype).tolist() == enc.tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
+            assert np.frombuffer(got, enc.dtype).tolist() == enc.tokenizer.encode(t, add_special_tokens=False).ids, repr(t[:99])
 
 
 def test_packing_of_hard_rows(docs, rows):
