@@ -193,9 +193,11 @@ def _read(id_type: pa.DataType):
 
 def read_documents(manifest: DataFrame, id_type: str = "long") -> DataFrame:
     """One row per document, read from the files: id, start (ids before it in
-    all files), n_tokens, ids (little-endian uint32). Files are dealt to tasks."""
+    all files), n_tokens, ids (little-endian uint32). Every file is a task's: the
+    manifest is small, its files are not, so tasks are not left to its size."""
     from pyspark.sql.pandas.types import to_arrow_type
     from pyspark.sql.types import StructType
     kind = StructType.fromDDL(f"id {id_type}")[0].dataType
-    rows = manifest.select("tokens_file", "docs_file", "base").repartition("tokens_file")
+    files = max(1, manifest.count())
+    rows = manifest.repartitionByRange(files, "part").select("tokens_file", "docs_file", "base")
     return rows.mapInArrow(_read(to_arrow_type(kind)), f"id {id_type}, start long, n_tokens long, ids binary")
