@@ -7,6 +7,11 @@ matches are counted per document, item and alignment. Where enough windows
 match, the slot values are compared: each value of the item must stand for one
 value in the document.
 
+A name at the start of a sentence looks like any other first word. A second set
+of windows therefore has every capitalised word as a name, runs of names as one,
+and adds up the matches of neighbouring alignments; it finds what the first set,
+in which first words are literal, does not.
+
 All of it is DataFrame code. The benchmark's windows are broadcast only when
 their counted number is under a bound, else the join shuffles.
 """
@@ -27,6 +32,8 @@ LEAST_LITERALS = 4
 LEAST_CONSISTENCY = 0.66
 #: Benchmark windows that may be broadcast (16 bytes each).
 BROADCAST_WINDOWS = 1_000_000
+#: Alignments less than this apart count together where every capital is a name.
+BAND = 8
 
 # Placeholders (number, unit, name), end of a slot value, units.
 NUMBER, UNIT, NAME, CLOSE = "\ue000", "\ue001", "\ue002", "\ue003"
@@ -40,33 +47,54 @@ NAME_BEFORE = f"[\\p{{Ll}},;{NUMBER}-{CLOSE}]\\x20"
 DROP = f"[^\\p{{L}}\\p{{N}}{NUMBER}-{CLOSE}\\x20\\x09-\\x0D]+"
 
 
-def template(text: Column, values: bool = False) -> Column:
-    """Canonical text with the words' places unchanged. With ``values`` every
-    slot keeps its value between the placeholder and ``CLOSE``."""
+PLACES = f"[{NUMBER}{UNIT}{NAME}]"
+
+
+def marked(text: Column, values: bool = False) -> Column:
+    """Text with its numbers and units as placeholders."""
     close, one = (CLOSE, "$1") if values else ("", "")
     x = F.regexp_replace(F.coalesce(text, F.lit("")), f"({DIGITS})", f"{NUMBER}{one}{close}")
     end = CLOSE if values else NUMBER
     mark = f"{UNIT}$2{CLOSE}" if values else UNIT
     x = F.regexp_replace(x, f"([$€£])({NUMBER})", (f"{UNIT}$1{CLOSE}" if values else UNIT) + "$2")
-    x = F.regexp_replace(x, f"({end}\\x20?)({UNIT_PATTERN})([^\\p{{L}}]|\\z)", f"$1{mark}$3")
+    return F.regexp_replace(x, f"({end}\\x20?)({UNIT_PATTERN})([^\\p{{L}}]|\\z)", f"$1{mark}$3")
+
+
+def named(x: Column, values: bool = False) -> Column:
+    """Marked text with the names inside sentences as placeholders."""
     for _ in range(2):  # the second pass takes names that follow a name
         x = F.regexp_replace(x, f"({NAME_BEFORE})(\\p{{Lu}}\\p{{L}}+)", f"$1{NAME}$2{CLOSE}" if values else f"$1{NAME}")
     return F.regexp_replace(F.lower(x), DROP, "")
 
 
+def all_named(x: Column, values: bool = False) -> Column:
+    """Marked text with every capitalised word as a name and the last name of a
+    run for the run."""
+    x = F.regexp_replace(x, "(?<!\\p{L})(\\p{Lu}\\p{L}+)", f"{NAME}$1{CLOSE}" if values else NAME)
+    x = F.regexp_replace(F.lower(x), DROP, "")
+    return F.regexp_replace(x, f"{NAME}[^{CLOSE}]*{CLOSE}{SPACE}(?={NAME})" if values else f"{NAME}{SPACE}(?={NAME})", "")
+
+
+def template(text: Column, values: bool = False) -> Column:
+    """Canonical text with the words' places unchanged. With ``values`` every
+    slot keeps its value between the placeholder and ``CLOSE``."""
+    return named(marked(text, values), values)
+
+
 def words_of(canonical: Column) -> Column:
     """Template words; a text without any is one empty word."""
     return F.split(F.btrim(canonical, F.lit(ASCII_SPACE)), SPACE)
 
 
-def window_hashes(df: DataFrame, text_col: Column, window: int) -> DataFrame:
-    """Adds ``windows``: the hash of every window of template words."""
-    df = df.withColumn("__words", words_of(template(text_col)))
-    df = df.withColumn("__h", F.transform("__words", lambda w: F.xxhash64(w)))
-    at = lambda i: F.xxhash64(*[F.get(F.col("__h"), i + k) for k in range(window)])
-    return df.withColumn("windows", F.when(
-        F.size("__h") >= window, F.transform(F.sequence(F.lit(0), F.size("__h") - window), at))
-        .otherwise(F.array().cast("array<bigint>")))
+def hashes_of(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
+def window_hashes(h: str, window: int, kind: int) -> Column:
+    """The hash of every window of the words hashed in ``h``."""
+    at = lambda i: F.xxhash64(*[F.get(F.col(h), i + k) for k in range(window)], *[F.lit(kind)] * (kind > 0))
+    return F.when(F.size(h) >= window, F.transform(F.sequence(F.lit(0), F.size(h) - window), at)).otherwise(
+        F.array().cast("array<bigint>"))
 
 
 def slot_value(word: Column) -> Column:
@@ -91,42 +119,75 @@ def _contaminated(src: DataFrame, items: DataFrame, window: int = WINDOW, id_col
                   item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     bench = items.select(F.col(f"`{item_col}`").alias("item_id"), F.col(f"`{item_text_col}`").alias("text")).where(
         F.col("item_id").isNotNull()).distinct()
-    usable = window_hashes(bench, F.col("text"), window)
-    literal = lambda i: F.size(F.filter(F.slice("__words", i + 1, window), lambda w: ~w.rlike(
-        f"[{NUMBER}{UNIT}{NAME}]"))) >= LEAST_LITERALS
-    usable = usable.select("item_id", F.posexplode_outer("windows").alias("at", "hash"), "__words").where(F.col("at").isNotNull()).where(literal(F.col("at")))
-    usable = land(usable.select("item_id", "at", "hash").distinct(), "bench-windows")
-    needs = land(usable.groupBy("item_id").agg(F.count(F.lit(1)).alias("item_windows")), "bench-needs")
+    literal = lambda i: F.size(F.filter(F.slice("__words", i + 1, window), lambda w: ~w.rlike(PLACES))) >= LEAST_LITERALS
+
+    def item_windows(kind: int, canonical) -> DataFrame:
+        words = bench.withColumn("__words", words_of(canonical(marked(F.col("text")))))
+        return (words.withColumn("__h", hashes_of(F.col("__words")))
+                .select("item_id", F.lit(kind).alias("kind"), F.posexplode_outer(window_hashes("__h", window, kind)).alias("at", "hash"), "__words")
+                .where(F.col("at").isNotNull()).where(literal(F.col("at"))).select("item_id", "kind", "at", "hash"))
+
+    # kind 0: names inside sentences, kind 1: every capital a name
+    usable = land(item_windows(0, named).unionByName(item_windows(1, all_named)).distinct(), "bench-windows")
+    needs = land(usable.groupBy("item_id", "kind").agg(F.count(F.lit(1)).alias("item_windows")), "bench-needs")
     few = usable.count() <= BROADCAST_WINDOWS
-    here = window_hashes(src.select(F.col(f"`{text_col}`").alias("text"), F.col(LOC).alias("loc")), F.col("text"), window)
+    here = src.select(F.col(f"`{text_col}`").alias("text"), F.col(LOC).alias("loc")).withColumn("__m", marked(F.col("text")))
+    here = (here.withColumn("__h0", hashes_of(words_of(named(F.col("__m")))))
+            .withColumn("__h1", hashes_of(words_of(all_named(F.col("__m"))))))
+    windows = [window_hashes("__h0", window, 0), window_hashes("__h1", window, 1)]
     # outer: a filter on the array's size would be pushed to the scan and compute the windows there again
-    here = here.select("loc", F.posexplode_outer("windows").alias("pos", "hash"))
+    here = here.select("loc", F.greatest(F.size("__h0") - (window - 1), F.lit(0)).alias("n0"),
+                       F.posexplode_outer(F.concat(*windows)).alias("pos", "hash"))
+    shift = F.col("pos") - F.col("at") - F.when(F.col("kind") == 1, F.col("n0")).otherwise(0)
     hits = (here.join(F.broadcast(usable) if few else usable, "hash")
-            .groupBy("loc", "item_id", (F.col("pos") - F.col("at")).alias("shift")).agg(
-                F.count(F.lit(1)).alias("n_windows")))
-    candidates = land(hits.join(F.broadcast(needs) if few else needs, "item_id")
-                      .where(F.col("n_windows") >= F.least(F.lit(LEAST_WINDOWS), F.col("item_windows"))), "leaks")
+            .groupBy("loc", "item_id", "kind", shift.alias("shift")).agg(
+                F.count(F.lit(1)).alias("n_windows"), F.collect_set("at").alias("ats")))
+    hits = land(hits.join(F.broadcast(needs) if few else needs, ["item_id", "kind"]), "leak-hits")
+    enough = F.col("n_windows") >= F.least(F.lit(LEAST_WINDOWS), F.col("item_windows"))
+    candidates = hits.where(F.col("kind") == 0).drop("ats").where(enough)
+    band = F.floor(F.col("shift") / BAND)
+    bands = (hits.where(F.col("kind") == 1).withColumn("band", F.explode(F.array(band, band + 1)))
+             .groupBy("loc", "item_id", "band", "item_windows").agg(
+                 F.collect_list(F.struct("shift", "ats")).alias("found"), F.min("shift").alias("shift"))
+             .withColumn("n_windows", F.size(F.array_distinct(F.flatten("found.ats"))).cast("long")).where(enough))
+    bands = land(bands, "leak-bands")
+    where = candidates.select("loc").unionByName(bands.select("loc"))
     texts = in_classes(src.select(F.col(LOC).alias("loc"), F.col(f"`{id_col}`").alias("id"),
-                                  F.col(f"`{text_col}`").alias("text")), F.col("loc"), candidates, F.col("loc"))
+                                  F.col(f"`{text_col}`").alias("text")), F.col("loc"), where, F.col("loc"))
     both = (candidates.join(texts, "loc")
             .select("loc", "id", "item_id", "shift", "n_windows", "item_windows",
                     words_of(template(F.col("text"), values=True)).alias("d"))
             .join(bench.select("item_id", words_of(template(F.col("text"), values=True)).alias("b")), "item_id"))
     kind = lambda w: F.regexp_replace(w, f"([{NUMBER}{UNIT}{NAME}])[^{CLOSE}]*{CLOSE}", "$1")
     there = lambda i: F.get(F.col("d"), i + F.col("shift"))
-    slots = F.filter(F.sequence(F.lit(0), F.size("b") - 1), lambda i: F.get(F.col("b"), i).rlike(f"[{NUMBER}{UNIT}{NAME}]")
+    slots = F.filter(F.sequence(F.lit(0), F.size("b") - 1), lambda i: F.get(F.col("b"), i).rlike(PLACES)
                      & (i + F.col("shift") >= 0) & (i + F.col("shift") < F.size("d"))
                      & (kind(F.get(F.col("b"), i)) == kind(there(i))))
     pairs = F.transform("slots", lambda i: F.struct(F.get(F.col("b"), i).alias("b"), there(i).alias("d")))
-    both = (both.withColumn("slots", slots).withColumn("pairs", pairs)
-            .withColumn("n_pairs", F.size(F.array_distinct("pairs")))
-            .withColumn("consistency", F.when(F.col("n_pairs") == 0, 1.0).otherwise(
-                F.size(F.array_distinct("pairs.b")) / F.col("n_pairs")))
-            .withColumn("same_values", F.forall("pairs", lambda p: p["b"] == p["d"]))
-            .where(F.col("consistency") >= LEAST_CONSISTENCY))
-    best = F.min(F.struct((-F.col("n_windows")).alias("neg"), "shift", "id", "item_windows", F.size("slots").alias("n_slots"),
+    out = ["loc", "item_id", "kind", "n_windows", "shift", "id", "item_windows", "n_slots", "consistency", "same_values"]
+    both = (both.withColumn("slots", slots).withColumn("pairs", pairs).withColumn("n_slots", F.size("slots"))
+            .withColumn("kind", F.lit(0)))
+    # every slot of every matched window, each on the alignment of its window
+    full = lambda c: words_of(all_named(marked(F.col(c), values=True), values=True))
+    near = (bands.join(texts, "loc").withColumn("d", full("text")).drop("text")
+            .join(bench.select("item_id", full("text").alias("b")), "item_id"))
+    of_window = lambda f, at: F.transform(F.sequence(at, at + (window - 1)), lambda i: F.struct(
+        i.alias("i"), F.get(F.col("b"), i).alias("b"), F.get(F.col("d"), i + f["shift"]).alias("d")))
+    slots = F.flatten(F.transform("found", lambda f: F.flatten(F.transform(f["ats"], lambda at: of_window(f, at)))))
+    near = (near.withColumn("slots", F.array_distinct(F.filter(slots, lambda x: x["b"].rlike(PLACES) & (kind(x["b"]) == kind(x["d"])))))
+            .withColumn("pairs", F.transform("slots", lambda x: F.struct(x["b"].alias("b"), x["d"].alias("d"))))
+            .withColumn("n_slots", F.size(F.array_distinct("slots.i"))).withColumn("kind", F.lit(1)))
+
+    def agreeing(rows: DataFrame) -> DataFrame:
+        return (rows.withColumn("n_pairs", F.size(F.array_distinct("pairs")))
+                .withColumn("consistency", F.when(F.col("n_pairs") == 0, 1.0).otherwise(
+                    F.size(F.array_distinct("pairs.b")) / F.col("n_pairs")))
+                .withColumn("same_values", F.forall("pairs", lambda p: p["b"] == p["d"]))
+                .where(F.col("consistency") >= LEAST_CONSISTENCY).select(*out))
+
+    best = F.min(F.struct("kind", (-F.col("n_windows")).alias("neg"), "shift", "id", "item_windows", "n_slots",
                           "consistency", "same_values")).alias("best")
-    return both.groupBy("loc", "item_id").agg(best).select(
+    return agreeing(both).unionByName(agreeing(near)).groupBy("loc", "item_id").agg(best).select(
         "loc", F.col("best.id").alias("id"), "item_id", (-F.col("best.neg")).alias("n_windows"), "best.item_windows",
         F.col("best.n_slots").cast("long").alias("n_slots"), "best.consistency", "best.same_values")
 

@@ -317,6 +317,19 @@ def test_decontamination_catches_other_parameters(spark, none):
     assert decontamination.contaminated(docs, items.limit(0)).count() == 0
 
 
+def test_decontamination_takes_names_at_sentence_starts(spark):
+    item = "Anna has 5 red apples. Ben gives her 3 more apples. Anna then eats 2 of them. How many are left now?"
+    other = item.replace("Anna", "Rosa").replace("Ben", "Tom").replace("5", "8").replace("3", "6").replace("2", "4")
+    longer = other.replace("Rosa", "Mary Ann")
+    shifted = other.replace("then eats", "then quickly eats")  # an extra word moves what follows
+    data = [(1, other), (2, "some text before: " + longer + " and after"), (3, shifted), (4, item),
+            (5, "Anna has a red car. Ben gives her more rides. How many are left now is not known to anybody here.")]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = {r.id: r.same_values for r in decontamination.contaminated(docs, items).collect()}
+    assert got == {1: False, 2: False, 3: False, 4: True}
+
+
 def test_preferences(spark):
     t = [(1, 0, "user", "hi"), (1, 1, "assistant", "yo"), (1, 2, "user", "<|im_end|>"), (1, 3, "assistant", "ok"),
          (0, 0, "user", "hi"), (0, 1, "assistant", "yo"), (0, 2, "user", "bye"), (4, 0, None, None), (None, 0, "user", "x"),
