@@ -10,7 +10,8 @@ value in the document.
 A name at the start of a sentence looks like any other first word. A second set
 of windows therefore has every capitalised word as a name, runs of names as one,
 and adds up the matches of neighbouring alignments; it finds what the first set,
-in which first words are literal, does not.
+in which first words are literal, does not. Items with too few windows for either
+are searched whole: by the hash of their first words, then by the text itself.
 
 All of it is DataFrame code. The benchmark's windows are broadcast only when
 their counted number is under a bound, else the join shuffles.
@@ -81,6 +82,18 @@ def template(text: Column, values: bool = False) -> Column:
     return named(marked(text, values), values)
 
 
+#: Operators that count as words of a plain text, and a point between digits.
+OPERATORS, POINT = r"+*/=<>^%:\-\u00d7\u00f7", "\ue004"
+
+
+def plain(text: Column) -> Column:
+    """Lower-case text with its values, without punctuation but with the
+    operators of formulas."""
+    x = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "([0-9])[.,](?=[0-9])", f"$1{POINT}")
+    x = F.regexp_replace(x, f"[^\\p{{L}}\\p{{N}}{POINT}{OPERATORS}\x20\x09-\x0D]+|[{OPERATORS}]+(?=\\p{{L}})|(?<=\\p{{L}})[{OPERATORS}]+", "")
+    return F.regexp_replace(x, f"([{OPERATORS}])", " $1 ")
+
+
 def words_of(canonical: Column) -> Column:
     """Template words; a text without any is one empty word."""
     return F.split(F.btrim(canonical, F.lit(ASCII_SPACE)), SPACE)
@@ -109,8 +122,12 @@ def contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_col
     An item leaks when, on one alignment, ``LEAST_WINDOWS`` of its usable
     windows match (all, if it has fewer) and its slots are consistent;
     ``same_values`` tells a plain copy from a re-parameterised one. Of several
-    alignments the one with most matches counts, then the first. Null texts are
-    empty; items or documents of fewer than ``window`` words match nothing;
+    alignments the one with most matches counts, then the first. Where none
+    does, every capitalised word counts as a name, and alignments less than
+    ``BAND`` apart count together. Items with at most ``LEAST_WINDOWS`` usable
+    windows, also those of a word, leak too where all their words occur in a
+    row with their values (n_windows and item_windows are 1 then). Null texts are
+    empty; items without words match nothing;
     repeated rows each get their row; repeated items with one id count once."""
     return _contaminated(located(docs), items, window, id_col, text_col, item_col, item_text_col)
 
@@ -130,19 +147,31 @@ def _contaminated(src: DataFrame, items: DataFrame, window: int = WINDOW, id_col
     # kind 0: names inside sentences, kind 1: every capital a name
     usable = land(item_windows(0, named).unionByName(item_windows(1, all_named)).distinct(), "bench-windows")
     needs = land(usable.groupBy("item_id", "kind").agg(F.count(F.lit(1)).alias("item_windows")), "bench-needs")
+    # kind 2: items that a copy in running text may miss, as fewer windows than needed stay without the first word
+    short = (bench.join(needs.where((F.col("kind") == 0) & (F.col("item_windows") > LEAST_WINDOWS)), "item_id", "left_anti")
+             .select("item_id", words_of(plain(F.col("text"))).alias("words")).where(F.get("words", F.lit(0)) != "")
+             .select("item_id", F.array_join("words", " ").alias("whole"), hashes_of(F.col("words")).alias("__h"),
+                     F.least(F.size("words"), F.lit(window)).alias("length")))
+    first = F.coalesce(*[F.when(F.col("length") == n, F.get(window_hashes("__h", n, 2), F.lit(0))) for n in range(1, window + 1)])
+    short = land(short.select("item_id", "whole", "length", first.alias("hash")), "bench-short")
+    lengths = sorted(r.length for r in short.select("length").distinct().collect())
+    usable = usable.unionByName(short.select("item_id", F.lit(2).alias("kind"), F.lit(0).alias("at"), "hash").distinct())
     few = usable.count() <= BROADCAST_WINDOWS
     here = src.select(F.col(f"`{text_col}`").alias("text"), F.col(LOC).alias("loc")).withColumn("__m", marked(F.col("text")))
     here = (here.withColumn("__h0", hashes_of(words_of(named(F.col("__m")))))
             .withColumn("__h1", hashes_of(words_of(all_named(F.col("__m"))))))
     windows = [window_hashes("__h0", window, 0), window_hashes("__h1", window, 1)]
+    if lengths:
+        here = here.withColumn("__h2", hashes_of(words_of(plain(F.col("text")))))
+        windows += [window_hashes("__h2", n, 2) for n in lengths]
     # outer: a filter on the array's size would be pushed to the scan and compute the windows there again
     here = here.select("loc", F.greatest(F.size("__h0") - (window - 1), F.lit(0)).alias("n0"),
                        F.posexplode_outer(F.concat(*windows)).alias("pos", "hash"))
-    shift = F.col("pos") - F.col("at") - F.when(F.col("kind") == 1, F.col("n0")).otherwise(0)
+    shift = F.when(F.col("kind") == 2, 0).otherwise(F.col("pos") - F.col("at") - F.when(F.col("kind") == 1, F.col("n0")).otherwise(0))
     hits = (here.join(F.broadcast(usable) if few else usable, "hash")
             .groupBy("loc", "item_id", "kind", shift.alias("shift")).agg(
                 F.count(F.lit(1)).alias("n_windows"), F.collect_set("at").alias("ats")))
-    hits = land(hits.join(F.broadcast(needs) if few else needs, ["item_id", "kind"]), "leak-hits")
+    hits = land(hits.join(F.broadcast(needs) if few else needs, ["item_id", "kind"], "left"), "leak-hits")
     enough = F.col("n_windows") >= F.least(F.lit(LEAST_WINDOWS), F.col("item_windows"))
     candidates = hits.where(F.col("kind") == 0).drop("ats").where(enough)
     band = F.floor(F.col("shift") / BAND)
@@ -151,7 +180,8 @@ def _contaminated(src: DataFrame, items: DataFrame, window: int = WINDOW, id_col
                  F.collect_list(F.struct("shift", "ats")).alias("found"), F.min("shift").alias("shift"))
              .withColumn("n_windows", F.size(F.array_distinct(F.flatten("found.ats"))).cast("long")).where(enough))
     bands = land(bands, "leak-bands")
-    where = candidates.select("loc").unionByName(bands.select("loc"))
+    firsts = hits.where(F.col("kind") == 2).select("loc", "item_id")
+    where = candidates.select("loc").unionByName(bands.select("loc")).unionByName(firsts.select("loc"))
     texts = in_classes(src.select(F.col(LOC).alias("loc"), F.col(f"`{id_col}`").alias("id"),
                                   F.col(f"`{text_col}`").alias("text")), F.col("loc"), where, F.col("loc"))
     both = (candidates.join(texts, "loc")
@@ -185,9 +215,15 @@ def _contaminated(src: DataFrame, items: DataFrame, window: int = WINDOW, id_col
                 .withColumn("same_values", F.forall("pairs", lambda p: p["b"] == p["d"]))
                 .where(F.col("consistency") >= LEAST_CONSISTENCY).select(*out))
 
+    padded = lambda c: F.concat(F.lit(" "), c, F.lit(" "))
+    copies = (firsts.join(texts, "loc").withColumn("d", padded(F.array_join(words_of(plain(F.col("text"))), " ")))
+              .join(short.select("item_id", "whole"), "item_id").where(F.contains(F.col("d"), padded(F.col("whole"))))
+              .withColumns({"kind": F.lit(2), "n_windows": F.lit(1).cast("long"), "shift": F.lit(0),
+                            "item_windows": F.lit(1).cast("long"), "n_slots": F.lit(0), "consistency": F.lit(1.0),
+                            "same_values": F.lit(True)}).select(*out))
     best = F.min(F.struct("kind", (-F.col("n_windows")).alias("neg"), "shift", "id", "item_windows", "n_slots",
                           "consistency", "same_values")).alias("best")
-    return agreeing(both).unionByName(agreeing(near)).groupBy("loc", "item_id").agg(best).select(
+    return agreeing(both).unionByName(agreeing(near)).unionByName(copies).groupBy("loc", "item_id").agg(best).select(
         "loc", F.col("best.id").alias("id"), "item_id", (-F.col("best.neg")).alias("n_windows"), "best.item_windows",
         F.col("best.n_slots").cast("long").alias("n_slots"), "best.consistency", "best.same_values")
 

@@ -330,6 +330,21 @@ def test_decontamination_takes_names_at_sentence_starts(spark):
     assert got == {1: False, 2: False, 3: False, 4: True}
 
 
+def test_decontamination_finds_copies_of_short_items(spark):
+    items = {1: "What is the capital city of the country France today?", 2: "Who wrote Hamlet?", 3: "12.5 + 7 = ?",
+             4: "Anna, Ben, Carl, Dora, Emil, Fritz, Gerd, Hans, Ida, Jan", 5: "zygote", 6: "...", 7: None,
+             8: "1 2 3 4 5 6 7 8 9 10 11 13"}
+    data = [(k, f"some text before {t} And after") for k, t in items.items() if k < 6 or k == 8]
+    data += [(11, "he knew who wrote Othello"), (12, "12.5 - 7 = 5.5"), (13, "125 + 7 ="), (14, "1 2 3 4 5 6 7 8 9 10 11 12"),
+             (15, "zygotes"), (16, None), (17, "..."), (18, "Anna, Ben, Carl, Dora, Emil, Fritz, Gerd, Hans, Ida, Tom"),
+             (19, items[2].lower())]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    got = decontamination.contaminated(docs, bench).collect()
+    assert {(r.id, r.item_id) for r in got} == {*((k, k) for k in (1, 2, 3, 4, 5, 8)), (19, 2)}
+    assert all(r.same_values for r in got)
+
+
 def test_preferences(spark):
     t = [(1, 0, "user", "hi"), (1, 1, "assistant", "yo"), (1, 2, "user", "<|im_end|>"), (1, 3, "assistant", "ok"),
          (0, 0, "user", "hi"), (0, 1, "assistant", "yo"), (0, 2, "user", "bye"), (4, 0, None, None), (None, 0, "user", "x"),
