@@ -25,6 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -81,6 +82,9 @@ def _count_shingles(buckets: int, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nodes: dict[int, np.ndarray] = {}
         total = 0
+        task = TaskContext.get()
+        # documents go round the buckets, whatever their node: copies of one text share a node
+        turn = task.partitionId() if task else 0
 
         def flush() -> dict[str, list]:
             owners = np.array(sorted(nodes), np.int64)
@@ -123,8 +127,9 @@ def _count_shingles(buckets: int, size: int):
                     nodes[key] = s
                     total += len(s)
             n = len(ids)
-            docs = {"bucket": [k % buckets for k, _ in got], "kind": [1] * n, "id": ids, "node": [k for k, _ in got],
+            docs = {"bucket": (turn + np.arange(n)) % buckets, "kind": [1] * n, "id": ids, "node": [k for k, _ in got],
                     "n": [m for _, m in got]}
+            turn += n
             yield _batch(types, docs, n)
             if total >= SLICE_ENTRIES:
                 rows = flush()

@@ -3,8 +3,10 @@ rows, empty tables, clashing column names, hot groups."""
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -136,6 +138,15 @@ def test_jaccard_join_of_many_near_copies(spark, words, monkeypatch):
     assert len(set(label.values())) > 1
 
 
+def test_jaccard_join_spreads_copies():
+    texts = pa.array([b"one text that all the rows share"] * 600 + [None] * 600, pa.binary())
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1200), pa.int64()), texts], names=["id", "text"])
+    out = [r for b in jaccard_join._count_shingles(64, 5)(iter([batch, batch])) for r in b.to_pylist() if r["kind"] == 1]
+    assert sorted(r["id"] for r in out) == sorted([*range(1200)] * 2)
+    assert len({r["node"] for r in out}) == 2
+    assert max(Counter(r["bucket"] for r in out).values()) <= 2400 / 64 + 1
+
+
 def brute_removal(rows, window):
     first = {}
     order = lambda i: substring_dedup.NO_ID if i is None else i
