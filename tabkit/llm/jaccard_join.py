@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import land, text_bytes
+from .common import LOC, land, located, pick, text_bytes
 from .ring import (U64, bucket_slices, buckets_for, cut_runs, mix, pack_hashes, pack_owners,
                    unpack_hashes, unpack_owners, word_hashes)
 
@@ -117,17 +117,16 @@ def _count_shingles(buckets: int, size: int):
         for batch in batches:
             kind = batch.schema.field("id").type
             types = _types(kind)
-            ids, got = [], []
-            for i, t in zip(batch.column("id"), batch.column("text"), strict=True):
+            got = []
+            for t in batch.column("text"):
                 s = shingle_set(t.as_py() or b"", size)
                 key = node_key(s)
-                ids.append(i)
                 got.append((key, len(s)))
                 if len(s) and key not in nodes:
                     nodes[key] = s
                     total += len(s)
-            n = len(ids)
-            docs = {"bucket": (turn + np.arange(n)) % buckets, "kind": [1] * n, "id": ids, "node": [k for k, _ in got],
+            n = len(got)
+            docs = {"bucket": (turn + np.arange(n)) % buckets, "kind": [1] * n, "id": batch.column("id"), "node": [k for k, _ in got],
                     "n": [m for _, m in got]}
             turn += n
             yield _batch(types, docs, n)
@@ -142,7 +141,7 @@ def _count_shingles(buckets: int, size: int):
 
 
 def _batch(types, rows: dict[str, list], n: int) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(rows[c], t) if c in rows else pa.nulls(n, t) for c, t in types],
+    return pa.RecordBatch.from_arrays([(rows[c] if isinstance(rows[c], pa.Array) else pa.array(rows[c], t)) if c in rows else pa.nulls(n, t) for c, t in types],
                                       names=[c for c, _ in types])
 
 
@@ -370,8 +369,11 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each class, the one with the least id;
-    rows without id stay. Columns as given."""
-    gone = near_classes(docs, id_col, text_col).where("id <> component_id").select("id").distinct()
+    """``docs`` with one row of each class: the one with the least id (null ids
+    last), then the first by locator. Columns as given."""
+    src = located(docs)
     ids = F.col(f"`{id_col}`")
-    return docs.join(gone.hint("shuffle_hash"), ids == gone["id"], "left_anti")
+    rows = src.select(F.struct(ids.isNull().alias("no_id"), ids.alias("id"), F.col(LOC).alias("loc")).alias("row"),
+                      F.col(f"`{text_col}`").alias("text"))
+    gone = near_classes(rows, "row", "text").where("id <> component_id").select(F.col("id.loc").alias(LOC))
+    return src.join(gone.hint("shuffle_hash"), LOC, "left_anti").select(*pick(*docs.columns))

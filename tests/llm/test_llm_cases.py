@@ -147,6 +147,23 @@ def test_jaccard_join_spreads_copies():
     assert max(Counter(r["bucket"] for r in out).values()) <= 2400 / 64 + 1
 
 
+def test_drop_near_copies_goes_by_row(spark, words):
+    """Null and repeated ids: one row of each class stays, and no row goes for
+    another's id."""
+    rng = random.Random(5)
+    near = [rng.choice(words) for _ in range(150)]
+    like = lambda k: " ".join([*near[:-1], f"end{k}"])
+    own = [" ".join(rng.choice(words) for _ in range(80)) for _ in range(3)]
+    data = [(None, like(0)), (None, like(1)), (7, like(2)), (3, like(3)), (3, like(4)), (7, own[0]),
+            (None, own[1] + " x"), (None, own[1] + " y"), (5, own[2]), (None, None), (None, ""), (7, None)]
+    docs = spark.createDataFrame(data, "doc_id long, text string").coalesce(1)
+    got = jaccard_join.drop_near_copies(docs)
+    assert got.columns == docs.columns
+    key = lambda x: (x[0] is None, x[0] or 0, x[1] is None, x[1] or "")
+    want = [(3, like(3)), (7, own[0]), (None, own[1] + " x"), (5, own[2]), (None, None), (None, ""), (7, None)]
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(want, key=key)
+
+
 def brute_removal(rows, window):
     first = {}
     order = lambda i: substring_dedup.NO_ID if i is None else i
