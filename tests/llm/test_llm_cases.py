@@ -2,6 +2,7 @@
 rows, empty tables, clashing column names, hot groups."""
 
 import random
+import uuid
 import zlib
 from collections import Counter
 
@@ -192,6 +193,33 @@ def test_substring_dedup(docs, rows, window, monkeypatch):
     assert all(a.end < b.start for r in got for a, b in zip(r.intervals, r.intervals[1:], strict=False))
 
 
+def test_substring_dedup_spreads_rows_of_one_id(spark, words, monkeypatch, tmp_path):
+    """No id decides where a text goes: rows of one id, of none, and of ids with
+    a common step; ties in a slice learn what the first of them learns."""
+    monkeypatch.setattr(substring_dedup, "SLICE_ENTRIES", 700)
+    rng = random.Random(11)
+    passage = " ".join(rng.choice(words) for _ in range(30))
+    text = lambda k: " ".join(rng.choice(words) for _ in range(k))
+    data = [(i, f"{text(12)} {passage} {text(9)}") for i in [None] * 60 + [65] * 30 + [65 * k for k in range(2, 40)]]
+    data += [((1 << 63) - 1, passage), (None, text(40)), (65, text(40))]
+    remove, sizes = substring_dedup._remove, str(tmp_path)
+
+    def counted(window):
+        run = remove(window)
+
+        def wrapped(docs, known):
+            with open(f"{sizes}/{uuid.uuid4().hex}", "w") as f:
+                f.write(str(len(docs)))
+            return run(docs, known)
+        return wrapped
+    monkeypatch.setattr(substring_dedup, "_remove", counted)
+    df = spark.createDataFrame(data, "doc_id long, text string").coalesce(2)
+    got = substring_dedup.remove_repeats(df, window=10).collect()
+    groups = [int(f.read_text()) for f in tmp_path.iterdir()]
+    assert sum(groups) >= len(data) and max(groups) < 20
+    assert sorted((r.id is None, r.id, r.n_words, r.n_removed, bytes(r.kept)) for r in got) == brute_removal(data, 10)
+
+
 def test_blobs_round_trip():
     rng = np.random.default_rng(0)
     for h in (np.sort(rng.integers(0, 1 << 63, 50, np.uint64)), np.array([5], np.uint64),
