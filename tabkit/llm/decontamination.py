@@ -71,7 +71,7 @@ def named(x: Column, values: bool = False) -> Column:
 def all_named(x: Column, values: bool = False) -> Column:
     """Marked text with every capitalised word as a name and the last name of a
     run for the run."""
-    x = F.regexp_replace(x, "(?<!\\p{L})(\\p{Lu}\\p{L}+)", f"{NAME}$1{CLOSE}" if values else NAME)
+    x = F.regexp_replace(x, "(\\p{Lu}(?<!\\p{L}\\p{Lu})\\p{L}+)", f"{NAME}$1{CLOSE}" if values else NAME)
     x = F.regexp_replace(F.lower(x), DROP, "")
     return F.regexp_replace(x, f"{NAME}[^{CLOSE}]*{CLOSE}{SPACE}(?={NAME})" if values else f"{NAME}{SPACE}(?={NAME})", "")
 
@@ -146,7 +146,8 @@ def _contaminated(src: DataFrame, items: DataFrame, window: int = WINDOW, id_col
 
     # kind 0: names inside sentences, kind 1: every capital a name
     usable = land(item_windows(0, named).unionByName(item_windows(1, all_named)).distinct(), "bench-windows")
-    needs = land(usable.groupBy("item_id", "kind").agg(F.count(F.lit(1)).alias("item_windows")), "bench-needs")
+    needs = land(usable.groupBy("item_id", "kind").agg(
+        F.count(F.lit(1)).alias("item_windows"), F.collect_set("at").alias("ats")), "bench-needs")
     # kind 2: items that a copy in running text may miss, as fewer windows than needed stay without the first word
     short = (bench.join(needs.where((F.col("kind") == 0) & (F.col("item_windows") > LEAST_WINDOWS)), "item_id", "left_anti")
              .select("item_id", words_of(plain(F.col("text"))).alias("words")).where(F.get("words", F.lit(0)) != "")
@@ -170,16 +171,16 @@ def _contaminated(src: DataFrame, items: DataFrame, window: int = WINDOW, id_col
     shift = F.when(F.col("kind") == 2, 0).otherwise(F.col("pos") - F.col("at") - F.when(F.col("kind") == 1, F.col("n0")).otherwise(0))
     hits = (here.join(F.broadcast(usable) if few else usable, "hash")
             .groupBy("loc", "item_id", "kind", shift.alias("shift")).agg(
-                F.count(F.lit(1)).alias("n_windows"), F.collect_set("at").alias("ats")))
-    hits = land(hits.join(F.broadcast(needs) if few else needs, ["item_id", "kind"], "left"), "leak-hits")
+                F.count(F.lit(1)).alias("n_windows")))
+    sizes = needs.drop("ats")
+    hits = land(hits.join(F.broadcast(sizes) if few else sizes, ["item_id", "kind"], "left"), "leaks")
     enough = F.col("n_windows") >= F.least(F.lit(LEAST_WINDOWS), F.col("item_windows"))
-    candidates = hits.where(F.col("kind") == 0).drop("ats").where(enough)
+    candidates = hits.where(F.col("kind") == 0).drop("kind").where(enough)
     band = F.floor(F.col("shift") / BAND)
     bands = (hits.where(F.col("kind") == 1).withColumn("band", F.explode(F.array(band, band + 1)))
              .groupBy("loc", "item_id", "band", "item_windows").agg(
-                 F.collect_list(F.struct("shift", "ats")).alias("found"), F.min("shift").alias("shift"))
-             .withColumn("n_windows", F.size(F.array_distinct(F.flatten("found.ats"))).cast("long")).where(enough))
-    bands = land(bands, "leak-bands")
+                 F.collect_list("shift").alias("found"), F.min("shift").alias("shift"), F.sum("n_windows").alias("n_windows"))
+             .where(enough))
     firsts = hits.where(F.col("kind") == 2).select("loc", "item_id")
     where = candidates.select("loc").unionByName(bands.select("loc")).unionByName(firsts.select("loc"))
     texts = in_classes(src.select(F.col(LOC).alias("loc"), F.col(f"`{id_col}`").alias("id"),
@@ -201,8 +202,17 @@ def _contaminated(src: DataFrame, items: DataFrame, window: int = WINDOW, id_col
     full = lambda c: words_of(all_named(marked(F.col(c), values=True), values=True))
     near = (bands.join(texts, "loc").withColumn("d", full("text")).drop("text")
             .join(bench.select("item_id", full("text").alias("b")), "item_id"))
+    kinds = lambda c: F.transform(c, lambda w: kind(w))
+    near = near.join(needs.where(F.col("kind") == 1).select("item_id", "ats"), "item_id").withColumns(
+        {"kb": kinds("b"), "kd": kinds("d")})
+    # a window matches on a shift where all its words do; an item's window counts once
+    same = lambda at, to: ((to >= 0) & (at + window <= F.size("kb")) & (to + window <= F.size("kd"))
+                           & (F.slice("kb", at + 1, window) == F.slice("kd", F.greatest(to, F.lit(0)) + 1, window)))
+    near = near.withColumn("found", F.transform("found", lambda f: F.struct(
+        f.alias("shift"), F.filter("ats", lambda at: same(at, (at + f).cast("int"))).alias("ats"))))
+    near = near.withColumn("n_windows", F.size(F.array_distinct(F.flatten("found.ats"))).cast("long")).where(enough)
     of_window = lambda f, at: F.transform(F.sequence(at, at + (window - 1)), lambda i: F.struct(
-        i.alias("i"), F.get(F.col("b"), i).alias("b"), F.get(F.col("d"), i + f["shift"]).alias("d")))
+        i.alias("i"), F.get(F.col("b"), i).alias("b"), F.get(F.col("d"), (i + f["shift"]).cast("int")).alias("d")))
     slots = F.flatten(F.transform("found", lambda f: F.flatten(F.transform(f["ats"], lambda at: of_window(f, at)))))
     near = (near.withColumn("slots", F.array_distinct(F.filter(slots, lambda x: x["b"].rlike(PLACES) & (kind(x["b"]) == kind(x["d"])))))
             .withColumn("pairs", F.transform("slots", lambda x: F.struct(x["b"].alias("b"), x["d"].alias("d"))))
