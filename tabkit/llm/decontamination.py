@@ -198,9 +198,20 @@ def _contaminated(src: DataFrame, items: DataFrame, window: int = WINDOW, id_col
     out = ["loc", "item_id", "kind", "n_windows", "shift", "id", "item_windows", "n_slots", "consistency", "same_values"]
     both = (both.withColumn("slots", slots).withColumn("pairs", pairs).withColumn("n_slots", F.size("slots"))
             .withColumn("kind", F.lit(0)))
+
+    def agreeing(rows: DataFrame) -> DataFrame:
+        return (rows.withColumn("n_pairs", F.size(F.array_distinct("pairs")))
+                .withColumn("consistency", F.when(F.col("n_pairs") == 0, 1.0).otherwise(
+                    F.size(F.array_distinct("pairs.b")) / F.col("n_pairs")))
+                .withColumn("same_values", F.forall("pairs", lambda p: p["b"] == p["d"]))
+                .where(F.col("consistency") >= LEAST_CONSISTENCY).select(*out))
+
+    # the rest only where these do not tell already
+    leaked = land(agreeing(both), "leaks-named")
+    left = lambda df: df.join(leaked.select("loc", "item_id"), ["loc", "item_id"], "left_anti")
     # every slot of every matched window, each on the alignment of its window
     full = lambda c: words_of(all_named(marked(F.col(c), values=True), values=True))
-    near = (bands.join(texts, "loc").withColumn("d", full("text")).drop("text")
+    near = (left(bands).join(texts, "loc").withColumn("d", full("text")).drop("text")
             .join(bench.select("item_id", full("text").alias("b")), "item_id"))
     kinds = lambda c: F.transform(c, lambda w: kind(w))
     near = near.join(needs.where(F.col("kind") == 1).select("item_id", "ats"), "item_id").withColumns(
@@ -210,6 +221,8 @@ def _contaminated(src: DataFrame, items: DataFrame, window: int = WINDOW, id_col
                            & (F.slice("kb", at + 1, window) == F.slice("kd", F.greatest(to, F.lit(0)) + 1, window)))
     near = near.withColumn("found", F.transform("found", lambda f: F.struct(
         f.alias("shift"), F.filter("ats", lambda at: same(at, (at + f).cast("int"))).alias("ats"))))
+    # landed: a filter pushed below would compute the words anew for every window
+    near = land(near.select("loc", "id", "item_id", "shift", "item_windows", "b", "d", "found"), "leak-near")
     near = near.withColumn("n_windows", F.size(F.array_distinct(F.flatten("found.ats"))).cast("long")).where(enough)
     of_window = lambda f, at: F.transform(F.sequence(at, at + (window - 1)), lambda i: F.struct(
         i.alias("i"), F.get(F.col("b"), i).alias("b"), F.get(F.col("d"), (i + f["shift"]).cast("int")).alias("d")))
@@ -218,22 +231,15 @@ def _contaminated(src: DataFrame, items: DataFrame, window: int = WINDOW, id_col
             .withColumn("pairs", F.transform("slots", lambda x: F.struct(x["b"].alias("b"), x["d"].alias("d"))))
             .withColumn("n_slots", F.size(F.array_distinct("slots.i"))).withColumn("kind", F.lit(1)))
 
-    def agreeing(rows: DataFrame) -> DataFrame:
-        return (rows.withColumn("n_pairs", F.size(F.array_distinct("pairs")))
-                .withColumn("consistency", F.when(F.col("n_pairs") == 0, 1.0).otherwise(
-                    F.size(F.array_distinct("pairs.b")) / F.col("n_pairs")))
-                .withColumn("same_values", F.forall("pairs", lambda p: p["b"] == p["d"]))
-                .where(F.col("consistency") >= LEAST_CONSISTENCY).select(*out))
-
     padded = lambda c: F.concat(F.lit(" "), c, F.lit(" "))
-    copies = (firsts.join(texts, "loc").withColumn("d", padded(F.array_join(words_of(plain(F.col("text"))), " ")))
+    copies = (left(firsts).join(texts, "loc").withColumn("d", padded(F.array_join(words_of(plain(F.col("text"))), " ")))
               .join(short.select("item_id", "whole"), "item_id").where(F.contains(F.col("d"), padded(F.col("whole"))))
               .withColumns({"kind": F.lit(2), "n_windows": F.lit(1).cast("long"), "shift": F.lit(0),
                             "item_windows": F.lit(1).cast("long"), "n_slots": F.lit(0), "consistency": F.lit(1.0),
                             "same_values": F.lit(True)}).select(*out))
     best = F.min(F.struct("kind", (-F.col("n_windows")).alias("neg"), "shift", "id", "item_windows", "n_slots",
                           "consistency", "same_values")).alias("best")
-    return agreeing(both).unionByName(agreeing(near)).unionByName(copies).groupBy("loc", "item_id").agg(best).select(
+    return leaked.unionByName(agreeing(near)).unionByName(copies).groupBy("loc", "item_id").agg(best).select(
         "loc", F.col("best.id").alias("id"), "item_id", (-F.col("best.neg")).alias("n_windows"), "best.item_windows",
         F.col("best.n_slots").cast("long").alias("n_slots"), "best.consistency", "best.same_values")
 
