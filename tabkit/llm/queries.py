@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontamination, exact_dedup, jaccard_join, packing, preferences, secrets, sharding, substring_dedup,
-               token_files, toxicity)
+from . import (collocations, decontamination, exact_dedup, exact_fit, jaccard_join, packing, preferences, secrets,
+               sharding, substring_dedup, token_files, toxicity, whitening)
 from .common import table
 
 
@@ -151,5 +151,50 @@ r AS (SELECT *, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION
 SELECT doc_id, keep_id, group_size, rk = 1 AS kept, sha256(norm) AS text_sha256 FROM r
 """
 
-QUERIES = {"op6_preference_pairs": op6_preference_pairs, "op8_template_leaks": op8_template_leaks, "op1_retrieval_packing": op1_retrieval_packing, "op2_arrow_sequences": op2_arrow_sequences, "op9_adaptive_prefixes": op9_adaptive_prefixes, "op5_repeated_windows": op5_repeated_windows, "op3_blob_ledger": op3_blob_ledger, "op7_toxic_lexicon": op7_toxic_lexicon, "op4_byte_shards": op4_byte_shards, "op10_exact_dedup": op10_exact_dedup}
-SQL = {"op6_preference_pairs": OP6_SQL, "op9_adaptive_prefixes": OP9_SQL, "op5_repeated_windows": OP5_SQL, "op10_exact_dedup": OP10_SQL}
+def op11_setm_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+g AS (SELECT lang, ws[i:i + k - 1] AS ph, k FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i
+      FROM w, (SELECT unnest([1, 2, 3]) AS k) WHERE len(ws) >= k)),
+f AS (SELECT lang, ph, k, count(*) AS a FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE k = 1 GROUP BY 1),
+c AS (SELECT * FROM f WHERE k > 1 AND a >= 10),
+cut AS (SELECT lang, ph, k, a, unnest(range(1, k)) AS j FROM c),
+s AS (SELECT cut.*, x.a AS l, y.a AS r, (1000000 * cut.a::HUGEINT * cut.a // (x.a::HUGEINT * y.a))::BIGINT AS score
+      FROM cut JOIN f x ON x.lang = cut.lang AND x.ph = cut.ph[1:j]
+      JOIN f y ON y.lang = cut.lang AND y.ph = cut.ph[j + 1:cut.k]),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, ph ORDER BY score, j) = 1),
+i AS (SELECT lang, ph, max(a) AS around FROM (SELECT lang, ph[1:2] AS ph, a FROM c WHERE k = 3
+      UNION ALL SELECT lang, ph[2:3], a FROM c WHERE k = 3) GROUP BY ALL),
+o AS (SELECT b.lang, array_to_string(b.ph, ' ') AS phrase, a, l, r, score
+      FROM b LEFT JOIN i ON i.lang = b.lang AND i.ph = b.ph WHERE around IS NULL OR 100 * around < 50 * a)
+SELECT o.lang, row_number() OVER (PARTITION BY o.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n,
+       score
+FROM o JOIN n USING (lang) QUALIFY rank <= 2000
+"""
+
+
+def op12_exact_complements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = exact_fit.pack(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+def op13_lanczos_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``deviation`` is null where it does not fit a long; ``deviation_exact`` always holds it."""
+    rows = whitening.whitened(table(spark, sf_dir, "embeddings"))
+    return rows.select(F.col("id").alias("vec_id"), "component", "n", F.col("deviation").try_cast("long").alias("deviation"),
+                       "whitened", "explained", "identity_error", F.col("deviation").alias("deviation_exact"))
+
+
+QUERIES = {q.__name__: q for q in (
+    op6_preference_pairs, op8_template_leaks, op1_retrieval_packing, op2_arrow_sequences, op9_adaptive_prefixes,
+    op5_repeated_windows, op3_blob_ledger, op7_toxic_lexicon, op4_byte_shards, op10_exact_dedup, op11_setm_phrases,
+    op12_exact_complements, op13_lanczos_whitening)}
+SQL = {"op6_preference_pairs": OP6_SQL, "op9_adaptive_prefixes": OP9_SQL, "op5_repeated_windows": OP5_SQL,
+       "op10_exact_dedup": OP10_SQL, "op11_setm_phrases": OP11_SQL}

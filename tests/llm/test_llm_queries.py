@@ -31,7 +31,7 @@ def texts(con):
 
 def test_all_are_registered():
     names = E.queries()
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(queries.QUERIES) | {"pipeline"} <= set(names)
     assert set(queries.SQL) <= set(E.oracle_sql())
 
