@@ -69,7 +69,8 @@ def test_collocations_of_nothing(spark):
 
 def test_scores_pass_64_bits(spark):
     a = 3 * 10**13
-    rows = spark.createDataFrame([("en", b"x y", 2, a, [a + 1, a + 7])], "lang string, phrase binary, words int, a long, parts array<long>")
+    rows = spark.createDataFrame([("en", "x y", 2, a, [(a + 1, a + 7)])],
+                                 "lang string, phrase string, words int, a long, parts array<struct<l: long, r: long>>")
     got = collocations.scored(rows).first()
     assert got["score"] == 10**6 * a * a // ((a + 1) * (a + 7)) and (got["l"], got["r"]) == (a + 1, a + 7)
 
