@@ -29,6 +29,8 @@ from .ring import bucket_of, buckets_for, cut_runs, mix
 #: Words of a slice, at which it is closed.
 SLICE_WORDS = 4_000_000
 UNKNOWN = "und"
+#: Parts of a language that are ranked on their own before the language is.
+PARTS = 64
 U64 = np.uint64
 
 # What ends a piece, and what separates its words (both from the contract).
@@ -332,8 +334,12 @@ def collocations(docs: DataFrame, longest: int = 3, least: int = 10, share: int
         around = inner_phrases(rows, longest)
         rows = rows.join(around, ["lang", "phrase"], "left").where(
             F.col("outer").isNull() | (100 * F.col("outer") < share * F.col("a")))
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = rows.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= first)
+    # first within parts of a language, so that no task sees more than first * PARTS of its phrases
+    order = (F.desc("score"), F.desc("a"), "phrase")
+    some = Window.partitionBy("lang", "some").orderBy(*order)
+    rows = rows.withColumn("some", F.pmod(F.xxhash64("phrase"), F.lit(PARTS)))
+    rows = rows.withColumn("rank", F.row_number().over(some)).where(F.col("rank") <= first)
+    ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= first)
     # one row a language
     return (ranked.join(words, "lang")
             .select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"))
