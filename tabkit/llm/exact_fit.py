@@ -154,19 +154,19 @@ class Places:
 
 
 def _cut(path: str, end: int, window: int):
-    """Pieces with their ids and the rank among the task's pieces of that length."""
+    """Pieces with their ids (in the tokenizer's width) and the rank among the task's pieces of that length."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         part, enc, seen = TaskContext.get().partitionId(), encoder(path), np.zeros(window + 1, np.int64)
-        last = np.array([end], "<u4").tobytes()
+        last, width = np.array([end], enc.dtype).tobytes(), np.dtype(enc.dtype).itemsize
         for b in batches:
             rows = []
             for i, blob in enumerate(enc.encode([t or "" for t in b.column("text").to_pylist()])):
-                ids = np.frombuffer(blob, enc.dtype).astype("<u4").tobytes() + last
-                n, at, piece = len(ids) // 4, 0, 0
+                ids = blob + last
+                n, at, piece = len(ids) // width, 0, 0
                 while at < n:
                     size = (n % window or window) if not piece else window
-                    rows.append((i, piece, at, size, ids[4 * at:4 * (at + size)], n, part, int(seen[size])))
+                    rows.append((i, piece, at, size, ids[width * at:width * (at + size)], n, part, int(seen[size])))
                     seen[size] += 1
                     at, piece = at + size, piece + 1
             if rows:
@@ -179,15 +179,16 @@ def _cut(path: str, end: int, window: int):
     return run
 
 
-def _place(places: Places):
+def _place(places: Places, dtype: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
                 sequence, offset = places.of(b.column("length").to_numpy(), b.column("rank").to_numpy())
-                names = ["doc_id", "piece", "start", "length", "ids", "doc_tokens"]
+                ids = [np.frombuffer(x, dtype).astype("<u4").tobytes() for x in b.column("ids").to_pylist()]
+                first, last = ["doc_id", "piece", "start", "length"], ["doc_tokens"]
                 yield pa.RecordBatch.from_arrays(
-                    [*(b.column(c) for c in names), pa.array(sequence), pa.array(offset)],
-                    names=[*names, "sequence_id", "offset"])
+                    [*(b.column(c) for c in first), pa.array(ids, pa.binary()), *(b.column(c) for c in last),
+                     pa.array(sequence), pa.array(offset)], names=[*first, "ids", *last, "sequence_id", "offset"])
     return run
 
 
@@ -215,7 +216,7 @@ def pack(docs: DataFrame, window: int = WINDOW, path: str | None = None, end: in
     bases = totals.select("part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     ranked = pieces.join(bases, ["part", "length"]).select(
         "doc_id", "piece", "start", "length", "ids", "doc_tokens", (F.col("nth") + F.col("base")).alias("rank"))
-    return ranked.mapInArrow(_place(Places(plan(counts), window)), PLACED.format(id=kind))
+    return ranked.mapInArrow(_place(Places(plan(counts), window), encoder(path).dtype), PLACED.format(id=kind))
 
 
 def sequences(pieces: DataFrame) -> DataFrame:
