@@ -2,9 +2,7 @@
 
 MLlib does the fitting (``KMeans`` with k-means||, ``BisectingKMeans``),
 scores come from ``ClusteringEvaluator`` or one aggregate (Calinski-Harabasz).
-Exact nearest neighbours scan the base table once per partition against a
-size-checked broadcast query set and keep only ``k`` candidates per query
-and partition before the final merge.
+Nearest neighbours are in ``neighbours``, density clustering in ``density``.
 """
 
 from __future__ import annotations
@@ -13,13 +11,14 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .neighbours import Lists, exact_neighbours, list_neighbours, vote
+
 
 def as_vectors(df: DataFrame, col: str, out: str = "features") -> DataFrame:
     return df.withColumn(out, array_to_vector(F.col(col).cast("array<double>")))
@@ -113,60 +112,15 @@ def prototype_anomalies(df: DataFrame, key: str, col: str, k: int = 132, neighbo
 
 
 def knn(base: DataFrame, queries: DataFrame, key: str, col: str, label: str, k: int = 5,
-        weights: str = "uniform", max_queries: int = 200_000, task: str = "classify") -> DataFrame:
-    """Exact k nearest neighbours (Euclidean) of every query row among the
-    base rows, then a class vote (or mean) with uniform or 1/distance weights.
-
-    The query set is broadcast after a size check; every base partition keeps
-    only its ``k`` best candidates per query (numpy in Arrow batches), so at
-    most ``k x #partitions`` candidates per query are shuffled to the merge."""
-    nq = queries.count()
-    if nq > max_queries:
-        raise ValueError(f"{nq} queries exceed the broadcast bound {max_queries}; split the query set")
-    qrows = queries.select(key, col).collect()  # checked bound above
-    qkeys = np.array([r[key] for r in qrows])
-    qmat = np.array([np.asarray(r[col], dtype=float) for r in qrows])
-    spark = base.sparkSession
-    bq = spark.sparkContext.broadcast((qkeys, qmat))
-
-    def scan(batches):
-        qk, qm = bq.value
-        best = None  # per query: arrays of (dist, base_key, label)
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            x = np.stack(pdf[col].apply(lambda a: np.asarray(a, dtype=float)).values)
-            d2 = (qm * qm).sum(1)[:, None] - 2 * qm @ x.T + (x * x).sum(1)[None, :]
-            d = np.sqrt(np.maximum(d2, 0))
-            keys = pdf[key].values
-            labs = pdf[label].values
-            kk = min(k, d.shape[1])
-            idx = np.lexsort((np.broadcast_to(keys, d.shape), d), axis=-1)[:, :kk]  # distance, then key
-            cand = (np.take_along_axis(d, idx, 1), keys[idx], labs[idx])
-            if best is None:
-                best = cand
-            else:
-                dd = np.concatenate([best[0], cand[0]], 1)
-                kk2 = np.concatenate([best[1], cand[1]], 1)
-                ll = np.concatenate([best[2], cand[2]], 1)
-                o = np.lexsort((kk2, dd), axis=-1)[:, :k]
-                best = (np.take_along_axis(dd, o, 1), np.take_along_axis(kk2, o, 1), np.take_along_axis(ll, o, 1))
-        if best is None:
-            return
-        n = best[0].shape[1]
-        yield pd.DataFrame({"query": np.repeat(qk, n), "base": best[1].ravel(), "dist": best[0].ravel(),
-                            "nlabel": best[2].ravel()})
-
-    kt = base.schema[key].dataType.simpleString()
-    lt = base.schema[label].dataType.simpleString()
-    cands = base.select(key, col, label).mapInPandas(scan, f"query {kt}, base {kt}, dist double, nlabel {lt}")
-    w = Window.partitionBy("query").orderBy("dist", "base")
-    top = cands.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k)
-    wt = F.lit(1.0) if weights == "uniform" else F.lit(1.0) / F.greatest(F.col("dist"), F.lit(1e-12))
-    if task == "regress":
-        return top.groupBy("query").agg((F.sum(wt * F.col("nlabel")) / F.sum(wt)).alias("prediction"))
-    votes = top.groupBy("query", "nlabel").agg(F.sum(wt).alias("w"))
-    return votes.groupBy("query").agg(F.min_by("nlabel", F.struct(-F.col("w"), F.col("nlabel"))).alias("prediction"))
+        weights: str = "uniform", task: str = "classify", index: Lists | None = None) -> DataFrame:
+    """K nearest neighbours (Euclidean) of every query row among the base
+    rows, then a class vote (or mean) with uniform or 1/distance weights.
+
+    Exact in blocks, whatever the sizes; with an ``index`` of ``fit_lists`` only
+    the lists nearest to a query are searched."""
+    found = (exact_neighbours(base, queries, key, col, k, (label,)) if index is None
+             else list_neighbours(base, queries, key, col, index, k, (label,)))
+    return vote(found, label, weights, task)
 
 
 def gap_curve(df: DataFrame, features_arr: str, ks: Sequence[int], seed: int = 13,

@@ -275,15 +275,6 @@ def l06(spark, sf_dir):
     return flagged.join(e.select("vec_id", "label"), "vec_id", "left")
 
 
-@plan("l07_knn", "L07,B01")
-def l07(spark, sf_dir):
-    e = Tables(spark, sf_dir).embeddings
-    s = S.random_split(e, "vec_id", [0.8, 0.2], names=("base", "query"))
-    pred = CL.knn(s.where(F.col("split") == "base"), s.where(F.col("split") == "query"), "vec_id", "embedding",
-                  "label", k=5, weights="distance")
-    return pred.join(e.select(F.col("vec_id").alias("query"), "label"), "query")
-
-
 @plan("l08_gap_curve", "L08")
 def l08(spark, sf_dir):
     e = Tables(spark, sf_dir).embeddings.withColumn("arr", F.col("embedding").cast("array<double>"))
