@@ -17,7 +17,6 @@ from __future__ import annotations
 import itertools
 import json
 import math
-import uuid
 from collections.abc import Sequence
 
 import numpy as np
@@ -27,8 +26,8 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
 from .graph import components
+from .order import land, row_positions
 
 #: A node is cut into so many parts along each dimension.
 CUT = 4
@@ -55,13 +54,6 @@ def scaled_points(df: DataFrame, key: str, cols: Sequence[str], scale: bool = Tr
                                       for i in range(len(num))]).alias("c"))
 
 
-def land(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read back."""
-    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 class Grid:
     """Boxes of one eps over ``dim`` dimensions."""
 
@@ -284,7 +276,6 @@ def dbscan(df: DataFrame, key: str, cols: Sequence[str], eps_list: Sequence[floa
 
 def cluster_numbers(names: DataFrame) -> DataFrame:
     """(cluster, number): rank of each cluster's name, without a one-task window."""
-    from .order import row_positions
     return row_positions(names, ["cluster"], out="pos").select("cluster", (F.col("pos") - 1).alias("number"))
 
 

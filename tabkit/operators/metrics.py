@@ -118,8 +118,7 @@ def roc_points(df: DataFrame, truth: str, score: str) -> DataFrame:
          .agg(F.count_if(F.col(truth) == 1).alias("pos"), F.count_if(F.col(truth) != 1).alias("neg")))
     tot = scalars(d.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")))
     P, N = float(tot["P"] or 0), float(tot["N"] or 0)
-    c = prefix_sum(d, [F.col("score").desc()], "pos", out="tp")
-    c = prefix_sum(c, [F.col("score").desc()], "neg", out="fp")
+    c = prefix_sum(d, [F.col("score").desc()], ["pos", "neg"], out=["tp", "fp"])
     return (c.withColumn("tpr", F.col("tp") / F.lit(P)).withColumn("fpr", F.col("fp") / F.lit(N))
             .withColumn("precision", F.col("tp") / (F.col("tp") + F.col("fp"))))
 

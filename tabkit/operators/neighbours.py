@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .density import land
+from .order import land
 
 #: Rows of a block of either side.
 BLOCK_ROWS = 20_000

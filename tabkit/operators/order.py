@@ -1,166 +1,78 @@
 """Global order computations without a one-partition window.
 
 Spark's ``Window.orderBy`` without ``partitionBy`` moves every row into one
-task. The helpers here instead
-
-1. range-partition the rows on the order key (balanced even when one group
-   holds a third of the rows, because a hot group is split across ranges by
-   its values),
-2. compute running sums inside each partition (Arrow batches in pandas),
-3. add per-partition offsets computed from one summary row per partition
-   (only a partition's first group can continue from earlier partitions).
-
-Average ranks with ties (Q01) and exact interpolated quantiles are built on
-the same prefix sum over ``(value, count)`` pairs, so the data is first
-collapsed to distinct values (map-side combined).
+task. Here running sums come from blocks: rows are range-partitioned on the
+order key (a hot group is split across ranges by its values) and landed with
+their block and place in it; the sums of each (block, group) are turned into
+offsets by a window over one row per block and group; a window inside each
+(block, group) does the rest. Everything is native, so integers, decimals and
+nulls keep Spark's exact arithmetic.
+
+Average ranks with ties (Q01) use the running sum over ``(value, count)`` pairs,
+so the data is first collapsed to distinct values (map-side combined). Exact
+quantiles need no order at all: they refine the buckets that hold a target rank.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-import json
-import math
-
-import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import scalars
 from ..session import ensure_checkpoint_dir
 
 
-def _key_of(row_vals) -> str:
-    return json.dumps([None if (isinstance(v, float) and math.isnan(v)) else
-                       (v.item() if hasattr(v, "item") else (str(v) if not isinstance(v, (int, float, str, bool)) else v))
-                       for v in row_vals])
-
-
-def _partition_summary(group_cols: list[str], weight: str):
-    """One row per partition: first/last group key, the weight of its last group
-    (tail), and whether the whole partition is a single group."""
-
-    def fn(batches):
-        pid, first, last, tail, single = None, None, None, 0, True
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            if pid is None:
-                pid = int(pdf["_pid"].iloc[0])
-            w = pdf[weight]
-            if group_cols:
-                codes = pdf.groupby(group_cols, sort=False, dropna=False).ngroup().values
-                k0 = _key_of(pdf[group_cols].iloc[0].tolist())
-                kl = _key_of(pdf[group_cols].iloc[-1].tolist())
-                if first is None:
-                    first = k0
-                if codes[0] != codes[-1] or (last is not None and k0 != last):
-                    single = False
-                last_run = w[codes == codes[-1]].sum()
-                tail = (tail + last_run) if (last is not None and kl == last and codes[0] == codes[-1]) else last_run
-                last = kl
-            else:
-                first = last = "[]"
-                tail += w.sum()
-        if pid is not None:
-            yield pd.DataFrame({"_pid": [pid], "first": [first], "last": [last],
-                                "tail": [float(tail)], "single": [bool(single)]})
-
-    return fn
-
-
-def _running_sum_batches(group_cols: list[str], weight: str, out: str, offsets: dict):
-    """Per-partition running sum that continues across Arrow batches; the
-    partition's first group starts at its offset from earlier partitions. Only
-    keys and weight become pandas columns; the rows themselves stay Arrow, so
-    that null, large-integer and decimal columns pass unchanged."""
-
-    def fn(batches):
-        carry_key, carry_val, first_key, off = None, 0, None, 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            pdf = batch.select(list(dict.fromkeys([*group_cols, "_pid", weight]))).to_pandas()
-            if first_key is None:
-                off = offsets.get(int(pdf["_pid"].iloc[0]), 0)
-            w = pdf[weight]
-            if group_cols:
-                # rows are sorted by group: only the first run can continue the
-                # previous batch's (or partition's) group
-                codes = pdf.groupby(group_cols, sort=False, dropna=False).ngroup()
-                cum = w.groupby(codes.values).cumsum()
-                k0 = _key_of(pdf[group_cols].iloc[0].tolist())
-                if first_key is None:
-                    first_key = k0
-                    cum = cum + (codes.values == codes.values[0]) * off
-                elif carry_key is not None and k0 == carry_key:
-                    cum = cum + (codes.values == codes.values[0]) * carry_val
-                carry_key = _key_of(pdf[group_cols].iloc[-1].tolist())
-            else:
-                cum = w.cumsum()
-                if first_key is None:
-                    first_key = "[]"
-                    cum = cum + off
-                else:
-                    cum = cum + carry_val
-                carry_key = "[]"
-            carry_val = cum.iloc[-1]
-            total = pa.array(cum.values).cast(batch.schema.field(weight).type)
-            yield pa.RecordBatch.from_arrays([*batch.columns, total], names=[*batch.schema.names, out])
-
-    return fn
-
-
-def prefix_sum(df: DataFrame, order_cols: Sequence[str | Column], weight: str | None = None,
-               group_cols: Sequence[str] = (), out: str = "cum",
+def land(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and read it back: the lineage
+    ends in files that outlive any executor."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def prefix_sum(df: DataFrame, order_cols: Sequence[str | Column], weight: str | Sequence[str] | None = None,
+               group_cols: Sequence[str] = (), out: str | Sequence[str] = "cum",
                num_partitions: int | None = None) -> DataFrame:
     """Inclusive running sum of ``weight`` (1 per row if None) in ``order_cols``
     order (names or sort-order Columns such as ``F.col(x).desc()``), restarting
-    per ``group_cols``. Give a unique order key for deterministic positions
-    (use ``average_rank`` for tie-aware ranks). Group keys must be non-null
-    (nulls are dropped in the reference, M6).
-
-    Plan: range partition + sort (a group larger than a partition is split
-    across several), one reliable checkpoint of that layout in the shared
-    checkpoint folder (so the layout is computed once and survives executor
-    loss), one Python pass for per-partition summaries (one row per partition
-    reaches the driver), and one Python pass for the running sums. Only the
-    first group of a partition can continue from earlier partitions, so the
-    offsets table has one entry per partition."""
+    per ``group_cols``; several weights give as many ``out`` columns from one
+    layout. Sums have the type of Spark's ``sum`` (long for integers, a wider
+    decimal for decimals) and are exact for both; a null weight adds nothing.
+    Give a unique order key for deterministic positions (use ``average_rank`` for
+    tie-aware ranks). A null group is a group of its own; an empty table gives none.
+
+    Plan: range partition + sort, landed once in the shared checkpoint folder (so
+    the layout is computed once and survives executor loss), then one aggregate
+    per (block, group) and a window inside each."""
     g = list(group_cols)
+    weights = [weight] if weight is None or isinstance(weight, str) else list(weight)
+    outs = [out] if isinstance(out, str) else list(out)
     keys = [F.col(c) for c in g] + [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    spark = df.sparkSession
-    wcol = weight
-    if wcol is None:
-        wcol = "_one"
-        df = df.withColumn(wcol, F.lit(1).cast("long"))
-    wtype = df.schema[wcol].dataType
-    # a null weight adds nothing
-    df = df.withColumn("_w0", F.coalesce(F.col(wcol), F.lit(0).cast(wtype)))
-    ensure_checkpoint_dir(spark)
     # ranges: the caller's count, else the configured shuffle partitions, which
     # adaptive execution coalesces by size; never the number of cores
     ranged = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
-    part = (ranged.sortWithinPartitions(*keys)
-            .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
-    summ = part.mapInPandas(_partition_summary(g, "_w0"),
-                            "_pid int, first string, last string, tail double, single boolean").collect()
-    integral = isinstance(wtype, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))
-    offsets, run_key, run_sum = {}, None, 0
-    for r in sorted(summ, key=lambda r: r["_pid"]):
-        tail = int(round(r["tail"])) if integral else r["tail"]
-        off = run_sum if r["first"] == run_key else 0
-        offsets[r["_pid"]] = off
-        if r["single"]:
-            run_key, run_sum = r["first"], off + tail
-        else:
-            run_key, run_sum = r["last"], tail
-    schema = T.StructType(part.schema.fields + [T.StructField(out, wtype, True)])
-    res = part.mapInArrow(_running_sum_batches(g, "_w0", out, offsets), schema)
-    drop = ["_pid", "_w0"] + (["_one"] if weight is None else [])
-    return res.drop(*drop)
+    rows = land(ranged.sortWithinPartitions(*keys).withColumn("_blk", F.spark_partition_id())
+                .withColumn("_idx", F.monotonically_increasing_id()), "ranges")
+    one = [F.lit(1).cast("long") if w is None else F.coalesce(F.col(w), F.lit(0).cast(rows.schema[w].dataType)) for w in weights]
+    totals = rows.groupBy("_blk", *g).agg(*[F.sum(c).alias(f"_t{i}") for i, c in enumerate(one)])
+    before = Window.partitionBy(*g).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)  # a row a block and group
+    base = totals.select(F.col("_blk").alias("_b"), *[F.col(c).alias(f"_g{i}") for i, c in enumerate(g)],
+                         *[F.sum(f"_t{i}").over(before).alias(f"_base{i}") for i in range(len(one))])
+    # only groups that go on from an earlier block have a base
+    base = base.where(F.col("_base0").isNotNull())
+    on = F.col("_blk") == F.col("_b")
+    for i, c in enumerate(g):
+        on = on & F.col(c).eqNullSafe(F.col(f"_g{i}"))
+    inside = Window.partitionBy("_blk", *g).orderBy("_idx").rowsBetween(Window.unboundedPreceding, 0)
+    sums = {o: F.sum(c).over(inside) + F.coalesce(F.col(f"_base{i}"), F.lit(0)) for i, (o, c) in enumerate(zip(outs, one, strict=True))}
+    for i, (o, c) in enumerate(zip(outs, one, strict=True)):
+        # the running sum's own type, not widened by the offset
+        kind = totals.schema[f"_t{i}"].dataType
+        sums[o] = sums[o].cast(kind)
+    return rows.join(base, on, "left").select(*[F.col(c) for c in df.columns], *[c.alias(o) for o, c in sums.items()])
 
 
 def row_positions(df: DataFrame, order_cols: Sequence[str | Column], group_cols: Sequence[str] = (),
@@ -218,44 +130,85 @@ def rank_rows(df: DataFrame, value_col: str, out: str = "rank") -> DataFrame:
     return df.join(ranks, value_col, "left")
 
 
+#: Buckets of a unit of log(1 + |value|), parts of a bucket that is refined, and
+#: rows of a bucket from which it is (its distinct values meet in one window).
+LOG_BUCKETS, PARTS, REFINED_ROWS = 1024, 1 << 20, 1_000_000
+
+
+def _targets(n: Column, probs: Sequence[float]) -> Column:
+    """0-based ranks below and above each quantile, in order of ``probs``."""
+    h = [(n - 1).cast("double") * F.lit(float(p)) for p in probs]
+    return F.array(*[F.floor(x) for x in h], *[F.ceil(x) for x in h])
+
+
+def _holding(counts: DataFrame, within: list[str], by: str, carried: list[str], probs: Sequence[float], whole: bool) -> DataFrame:
+    """Rows of ``counts`` (within, by, n) that hold a target rank, with ``before``:
+    the values before them. ``whole``: the table holds all values, else it
+    carries the values before each bucket and their number ``total``."""
+    order = Window.partitionBy(*within).orderBy(by) if within else Window.orderBy(by)
+    run = counts.withColumn("_run", F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    if whole:
+        total = Window.partitionBy(*within) if within else Window.partitionBy()
+        run = run.withColumn("total", F.sum("n").over(total)).withColumn("before", F.lit(0).cast("long"))
+    start = F.col("before") + F.col("_run") - F.col("n")
+    held = F.filter(_targets(F.col("total"), probs), lambda r: (r >= start) & (r < start + F.col("n")))
+    return run.where(F.size(held) > 0).select(*within, by, "n", "total", start.alias("before"), *carried)
+
+
 def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
                     group_cols: Sequence[str] = (), num_partitions: int | None = None,
                     long: bool = False) -> DataFrame:
     """Exact, linearly interpolated quantiles (pandas/numpy default, rule M3).
 
-    Unlike ``percentile`` (which buffers all values of a group in one
-    aggregation buffer), this sorts by range and only brings the <= 2 values
-    around each target position per group together: every distinct value
-    row tests, with one array expression, which target positions it covers.
-    Output: ``(group..., q_<i>)`` for each prob, or long ``(group..., prob, value)``.
-    """
+    ``percentile`` buffers all values of a group in one aggregation buffer; a
+    sort moves every row. This counts values in buckets of their logarithm, keeps
+    the buckets that hold a target rank, cuts those of many rows into parts between
+    their least and largest value as often as it takes, and then counts distinct
+    values in what is left. Each pass is a scan with map-side counts; windows run
+    over counts only, and the rows meet small tables of buckets. Buckets are
+    monotone in the value, so any rounding in them is harmless. Null and NaN are no
+    values; infinite ones sort as such. Null groups are left out.
+    Output: ``(group..., q_<i>)`` for each prob, or long ``(group..., prob, value)``;
+    a group without values has no row (without groups: a row of nulls)."""
     g = list(group_cols)
-    pos = value_positions(df, value_col, g, num_partitions)
-    if g:
-        totals = pos.groupBy(*g).agg(F.max("pos_end").alias("_N"))
-        pos = pos.join(totals, g)
-        n_col = F.col("_N")
-    else:
-        total = scalars(pos.agg(F.max("pos_end").alias("N")))["N"] or 0
-        n_col = F.lit(total).cast("long")
-    parr = F.array(*[F.lit(float(p)) for p in probs])
     k = len(probs)
-    s0, e0 = F.col("pos_start") - 1, F.col("pos_end") - 1
-    cov = pos.select(
-        *g, F.col(value_col).cast("double").alias("_v"), n_col.alias("_N"),
-        F.transform(parr, lambda p: (s0 <= F.floor((n_col - 1) * p)) & (F.floor((n_col - 1) * p) <= e0)).alias("_lo"),
-        F.transform(parr, lambda p: (s0 <= F.ceil((n_col - 1) * p)) & (F.ceil((n_col - 1) * p) <= e0)).alias("_hi"))
-    picked = cov.where(F.exists("_lo", lambda x: x) | F.exists("_hi", lambda x: x))
-    aggs = [F.max("_N").alias("_N")]
-    for i in range(k):
-        aggs += [F.max(F.when(F.element_at("_lo", i + 1), F.col("_v"))).alias(f"_lv{i}"),
-                 F.max(F.when(F.element_at("_hi", i + 1), F.col("_v"))).alias(f"_hv{i}")]
-    agg = picked.groupBy(*g).agg(*aggs) if g else picked.agg(*aggs)
+    v = F.col(value_col)
+    present = v.isNotNull()
+    if isinstance(df.schema[value_col].dataType, (T.DoubleType, T.FloatType)):
+        present = present & ~F.isnan(value_col)
+    for c in g:
+        present = present & F.col(c).isNotNull()
+    names = [f"_g{i}" for i in range(len(g))]
+    d = F.col("_v").cast("double")
+    log = F.floor(F.signum(d) * F.log1p(F.abs(d)) * LOG_BUCKETS)
+    b1 = F.when(F.abs(d) == float("inf"), F.signum(d) * F.lit(1 << 40)).otherwise(log).cast("long")
+    rows = (df.where(present).select(*[F.col(c).alias(n) for c, n in zip(g, names)], v.alias("_v")).withColumn("_b1", b1))
+    ends = [F.min(d).alias("_lo"), F.max(d).alias("_hi")]
+    counts = rows.groupBy(*names, "_b1").agg(F.count(F.lit(1)).alias("n"), *ends)
+    held = land(_holding(counts, names, "_b1", ["_lo", "_hi"], probs, True), "buckets")
+    keys, carried = [*names, "_b1"], [F.max("total").alias("total"), F.max("before").alias("before")]
+    while (held.where("_lo < _hi").agg(F.max("n").alias("n")).first()["n"] or 0) > REFINED_ROWS:
+        part = F.floor((d / 2 - F.col("_lo") / 2) / (F.col("_hi") / 2 - F.col("_lo") / 2) * (PARTS - 1))
+        deeper = f"_b{len(keys) - len(names) + 1}"
+        inner = (rows.join(held.drop("n"), keys)
+                 .withColumn(deeper, F.when(F.col("_lo") == F.col("_hi"), F.lit(0)).otherwise(part).cast("long")))
+        counts = inner.groupBy(*keys, deeper).agg(F.count(F.lit(1)).alias("n"), *carried, *ends)
+        held = land(_holding(counts, keys, deeper, ["_lo", "_hi"], probs, False), "buckets")
+        rows, keys = inner.drop("total", "before", "_lo", "_hi"), [*keys, deeper]
+    last = rows.join(held.drop("n", "_lo", "_hi"), keys).groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("n"), *carried)
+    last = _holding(last, keys, "_v", [], probs, False)
+    at = _targets(F.col("total"), probs)
+    aggs = [F.max("total").alias("_N")]
+    for i in range(2 * k):
+        r = F.element_at(at, i + 1)
+        aggs.append(F.max(F.when((r >= F.col("before")) & (r < F.col("before") + F.col("n")), d)).alias(f"_x{i}"))
+    agg = last.groupBy(*names).agg(*aggs) if g else last.agg(*aggs)
     qcols = []
     for i, p in enumerate(probs):
         h = (F.col("_N") - 1).cast("double") * F.lit(float(p))
-        qcols.append((F.col(f"_lv{i}") + (F.col(f"_hv{i}") - F.col(f"_lv{i}")) * (h - F.floor(h))).alias(f"q_{i}"))
-    wide = agg.select(*g, *qcols)
+        low, high = F.col(f"_x{i}"), F.col(f"_x{k + i}")
+        qcols.append(F.when(low == high, low).otherwise(low + (high - low) * (h - F.floor(h))).alias(f"q_{i}"))
+    wide = agg.select(*[F.col(n).alias(c) for c, n in zip(g, names)], *qcols)
     if not long:
         return wide
     st = F.explode(F.array(*[F.struct(F.lit(float(p)).alias("prob"), F.col(f"q_{i}").alias("value"))
