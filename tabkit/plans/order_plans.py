@@ -118,9 +118,9 @@ def q09(spark, sf_dir):
 
 
 @plan("q09_exact_sums", "Q09", """
-SELECT l_orderkey, l_linenumber, sum(36028797018963968 + l_partkey) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber
+SELECT l_orderkey, l_linenumber, sum(36028797018963968 + l_partkey) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_extendedprice
     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT AS big_cum,
-  (sum(CAST(l_extendedprice AS DECIMAL(20, 2)) + 10000000000000000) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber
+  (sum(CAST(l_extendedprice AS DECIMAL(20, 2)) + 10000000000000000) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_extendedprice
     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))::VARCHAR AS money_cum
 FROM lineitem""")
 def q09_exact(spark, sf_dir):
@@ -128,7 +128,7 @@ def q09_exact(spark, sf_dir):
     li = Tables(spark, sf_dir).lineitem.select(
         "l_orderkey", "l_linenumber", (F.lit(2**55) + F.col("l_partkey")).alias("big"),
         (F.col("l_extendedprice").cast("decimal(20,2)") + F.lit(10**16).cast("decimal(20,2)")).alias("money"))
-    rows = O.prefix_sum(li, ["l_linenumber"], ["big", "money"], ["l_orderkey"], out=["big_cum", "money_cum"])
+    rows = O.prefix_sum(li, ["l_linenumber", "big", "money"], ["big", "money"], ["l_orderkey"], out=["big_cum", "money_cum"])
     return rows.select("l_orderkey", "l_linenumber", "big_cum", F.col("money_cum").cast("string").alias("money_cum"))
 
 
