@@ -44,8 +44,8 @@ LEADER_ROUNDS = 4
 #: Entries in a slice before it is flushed; two workers and the JVM share an executor.
 SLICE_ENTRIES = 1_000_000
 
-WIRE = ("bucket long, kind int, id {id}, node long, n long, first long, hashes binary, numbers binary, owners binary, "
-        "many binary")
+WIRE = ("bucket long, kind int, first long, hashes binary, numbers binary, owners binary, many binary, "
+        "members binary")
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                     0xFF51AFD7ED558CCD, 0x2545F4914F6CDD1D, 0x27D4EB2F165667C5, 0x94D049BB133111EB], U64)
 
@@ -69,22 +69,39 @@ def node_key(shingles: np.ndarray) -> int:
     return h - (1 << 64) if h >= 1 << 63 else h
 
 
-def _types(id_type: pa.DataType) -> list[tuple[str, pa.DataType]]:
-    return [("bucket", pa.int64()), ("kind", pa.int32()), ("id", id_type), ("node", pa.int64()), ("n", pa.int64()),
-            ("first", pa.int64()), ("hashes", pa.binary()), ("numbers", pa.binary()), ("owners", pa.binary()),
-            ("many", pa.binary())]
+def _types() -> list[tuple[str, pa.DataType]]:
+    return [("bucket", pa.int64()), ("kind", pa.int32()), ("first", pa.int64()), ("hashes", pa.binary()),
+            ("numbers", pa.binary()), ("owners", pa.binary()), ("many", pa.binary()), ("members", pa.binary())]
+
+
+def _members(ids: pa.Array, got: list[tuple[int, int]]) -> bytes:
+    """(id, node, n) of a batch of documents as one Arrow stream: ids of any type
+    pass the buckets as one value."""
+    cols = [ids, pa.array([k for k, _ in got], pa.int64()), pa.array([n for _, n in got], pa.int64())]
+    batch = pa.RecordBatch.from_arrays(cols, names=["id", "node", "n"])
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="lz4")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _member_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for blob in b.column("members"):
+            yield from pa.ipc.open_stream(blob.as_buffer())
 
 
 def _count_shingles(buckets: int, size: int):
     """Kind 0: entries of a bucket, one for each hash and slice; ``many`` are
     the positions with two or more nodes in the slice and their counts. Kind 1:
-    a document (id, node, n). Kind 2: entries (hash, node) of such positions."""
+    a batch of documents (id, node, n). Kind 2: entries (hash, node) of such positions."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nodes: dict[int, np.ndarray] = {}
         total = 0
         task = TaskContext.get()
         # documents go round the buckets, whatever their node: copies of one text share a node
         turn = task.partitionId() if task else 0
+        types = _types()
 
         def flush() -> dict[str, list]:
             owners = np.array(sorted(nodes), np.int64)
@@ -96,7 +113,7 @@ def _count_shingles(buckets: int, size: int):
             del order
             starts = cut_runs(h)
             count = np.diff(np.append(starts, len(h)))
-            rows = {c: [] for c, _ in _types(pa.null())}
+            rows = {c: [] for c, _ in types}
             add = lambda **r: [v.append(r.get(c)) for c, v in rows.items()]
             shared = np.repeat(count > 1, count)
             if shared.any():
@@ -115,8 +132,6 @@ def _count_shingles(buckets: int, size: int):
             return rows
 
         for batch in batches:
-            kind = batch.schema.field("id").type
-            types = _types(kind)
             got = []
             for t in batch.column("text"):
                 s = shingle_set(t.as_py() or b"", size)
@@ -125,11 +140,9 @@ def _count_shingles(buckets: int, size: int):
                 if len(s) and key not in nodes:
                     nodes[key] = s
                     total += len(s)
-            n = len(got)
-            docs = {"bucket": (turn + np.arange(n)) % buckets, "kind": [1] * n, "id": batch.column("id"), "node": [k for k, _ in got],
-                    "n": [m for _, m in got]}
-            turn += n
-            yield _batch(types, docs, n)
+            if got:
+                yield _batch(types, {"bucket": [turn % buckets], "kind": [1], "members": [_members(batch.column("id"), got)]}, 1)
+                turn += 1
             if total >= SLICE_ENTRIES:
                 rows = flush()
                 yield _batch(types, rows, len(rows["kind"]))
@@ -145,7 +158,7 @@ def _batch(types, rows: dict[str, list], n: int) -> pa.RecordBatch:
                                       names=[c for c, _ in types])
 
 
-OUT = "kind int, id {id}, node long, n long, hash long, count long"
+OUT = "kind int, members binary, node long, hash long, count long"
 
 
 def _sum_bucket(table: pa.Table) -> pa.Table:
@@ -154,17 +167,15 @@ def _sum_bucket(table: pa.Table) -> pa.Table:
     node) of kind 2, whose counts come from kind 5: (hash, count)."""
     import pyarrow.compute as pc
 
-    id_type = table.schema.field("id").type
     out = []
 
     def add(kind: int, size: int, **cols):
-        types = [("kind", pa.int32()), ("id", id_type), ("node", pa.int64()), ("n", pa.int64()), ("hash", pa.int64()),
-                 ("count", pa.int64())]
+        types = [("kind", pa.int32()), ("members", pa.binary()), ("node", pa.int64()), ("hash", pa.int64()), ("count", pa.int64())]
         cols["kind"] = pa.array(np.full(size, kind, np.int32))
         out.append(pa.Table.from_arrays([cols.get(c, pa.nulls(size, t)) for c, t in types], names=[c for c, _ in types]))
 
     docs = table.filter(pc.equal(table["kind"], 1))
-    add(1, len(docs), id=docs["id"], node=docs["node"], n=docs["n"])
+    add(1, len(docs), members=docs["members"])
     h, node, count = [], [], []
     for r in table.filter(pc.not_equal(table["kind"], 1)).select(
             ["kind", "first", "hashes", "numbers", "owners", "many"]).to_pylist():
@@ -310,9 +321,10 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     buckets = 2 * buckets_for(text_bytes(docs, text_col))
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("binary").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    found = land(rows.mapInArrow(_count_shingles(buckets, size), WIRE.format(id=kind)).groupBy("bucket")
-                 .applyInArrow(_sum_bucket, OUT.format(id=kind)), "shingles")
-    members = found.where("kind = 1").select("id", "node", "n")
+    # as many tasks as the text asks for, a few buckets each
+    found = land(rows.mapInArrow(_count_shingles(buckets, size), WIRE).repartition(max(1, buckets // 2), "bucket").groupBy("bucket")
+                 .applyInArrow(_sum_bucket, OUT), "shingles")
+    members = found.where("kind = 1").select("members").mapInArrow(_member_rows, f"id {kind}, node long, n long")
     sizes = members.where("n > 0").select("node", "n").distinct()
     counts = found.where("kind = 5").select("hash", "count")
     items = (found.where("kind = 3").select("hash", "node", "count")
@@ -360,12 +372,14 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     if not new.isEmpty():
         labels = classes(new if links is None else links.unionByName(new), nodes)
     labels = land(labels, "labels")
-    placed = members.join(labels, "node", "left").withColumn(
-        "label", F.coalesce("label", "node"))
-    least = placed.where("n > 0").groupBy("label").agg(F.min("id").alias("least"))
-    return (placed.join(least, "label", "left")
+    # the least id of a node, then of its class, so that rows meet their class by node only
+    named = (members.where("n > 0").groupBy("node").agg(F.min("id").alias("least"))
+             .join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
+    least = named.groupBy("label").agg(F.min("least").alias("component"))
+    of_node = land(named.join(least, "label").select("node", "component"), "of_node")
+    return (members.join(of_node, "node", "left")
             .select("id", F.col("n").alias("n_shingles"), "node",
-                    F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("id")).alias("component_id")))
+                    F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component_id")))
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

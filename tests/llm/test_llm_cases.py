@@ -140,12 +140,15 @@ def test_jaccard_join_of_many_near_copies(spark, words, monkeypatch):
 
 
 def test_jaccard_join_spreads_copies():
-    texts = pa.array([b"one text that all the rows share"] * 600 + [None] * 600, pa.binary())
-    batch = pa.RecordBatch.from_arrays([pa.array(range(1200), pa.int64()), texts], names=["id", "text"])
-    out = [r for b in jaccard_join._count_shingles(64, 5)(iter([batch, batch])) for r in b.to_pylist() if r["kind"] == 1]
-    assert sorted(r["id"] for r in out) == sorted([*range(1200)] * 2)
-    assert len({r["node"] for r in out}) == 2
-    assert max(Counter(r["bucket"] for r in out).values()) <= 2400 / 64 + 1
+    """Batches of documents go round the buckets, whatever their texts."""
+    texts = pa.array([b"one text that all the rows share"] * 6 + [None] * 6, pa.binary())
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(12 * k, 12 * k + 12), pa.int64()), texts], names=["id", "text"])
+               for k in range(200)]
+    out = [r for b in jaccard_join._count_shingles(64, 5)(iter(batches)) for r in b.to_pylist() if r["kind"] == 1]
+    members = [m for r in out for b in jaccard_join._member_rows(iter([pa.RecordBatch.from_pylist([r])])) for m in b.to_pylist()]
+    assert sorted(m["id"] for m in members) == list(range(2400))
+    assert len({m["node"] for m in members}) == 2
+    assert max(Counter(r["bucket"] for r in out).values()) <= 200 / 64 + 1
 
 
 def test_drop_near_copies_goes_by_row(spark, words):
