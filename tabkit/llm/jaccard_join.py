@@ -44,6 +44,9 @@ LEADER_ROUNDS = 4
 #: Entries in a slice before it is flushed; two workers and the JVM share an executor.
 SLICE_ENTRIES = 1_000_000
 
+#: Tasks in which a class's nodes meet its least id.
+SALTS = 16
+
 WIRE = ("bucket long, kind int, first long, hashes binary, numbers binary, owners binary, many binary, "
         "members binary")
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
@@ -317,12 +320,12 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     no shingles and a class of their own. Null ids stay null and never name a
     class that has other ids. Repeated rows get equal rows; an empty table gives
     none. Sets are compared by 64-bit shingle hashes."""
-    # an entry takes several arrays in its bucket's task, so buckets are half the usual size
-    buckets = 2 * buckets_for(text_bytes(docs, text_col))
+    # an entry takes several arrays in its bucket's task, so buckets are a quarter of the usual size
+    buckets = 4 * buckets_for(text_bytes(docs, text_col))
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("binary").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     # as many tasks as the text asks for, a few buckets each
-    found = land(rows.mapInArrow(_count_shingles(buckets, size), WIRE).repartition(max(1, buckets // 2), "bucket").groupBy("bucket")
+    found = land(rows.mapInArrow(_count_shingles(buckets, size), WIRE).repartition(max(1, buckets // 4), "bucket").groupBy("bucket")
                  .applyInArrow(_sum_bucket, OUT), "shingles")
     members = found.where("kind = 1").select("members").mapInArrow(_member_rows, f"id {kind}, node long, n long")
     sizes = members.where("n > 0").select("node", "n").distinct()
@@ -372,11 +375,15 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     if not new.isEmpty():
         labels = classes(new if links is None else links.unionByName(new), nodes)
     labels = land(labels, "labels")
-    # the least id of a node, then of its class, so that rows meet their class by node only
-    named = (members.where("n > 0").groupBy("node").agg(F.min("id").alias("least"))
-             .join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
-    least = named.groupBy("label").agg(F.min("least").alias("component"))
-    of_node = land(named.join(least, "label").select("node", "component"), "of_node")
+    # the least id of a node, then of its class, so that rows meet their class by node only; the
+    # nodes of a class meet it in SALTS tasks
+    named = members.where("n > 0").groupBy("node").agg(F.min("id").alias("least")).join(labels, "node", "left")
+    alone, linked = named.where("label IS NULL"), named.where("label IS NOT NULL")
+    least = (linked.groupBy("label").agg(F.min("least").alias("component"))
+             .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
+    linked = linked.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
+    of_node = land(linked.join(least, ["label", "salt"]).select("node", "component")
+                   .unionByName(alone.select("node", F.col("least").alias("component"))), "of_node")
     return (members.join(of_node, "node", "left")
             .select("id", F.col("n").alias("n_shingles"), "node",
                     F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component_id")))
