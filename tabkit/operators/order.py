@@ -33,6 +33,25 @@ def land(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def ordered_blocks(df: DataFrame, order_cols: Sequence[str | Column], group_cols: Sequence[str] = (),
+                   num_partitions: int | None = None) -> DataFrame:
+    """``df`` in (group, order) order, landed with ``_blk`` (its range) and ``_idx``
+    (ascending inside it). Ranges: the caller's count, else the configured shuffle
+    partitions, which adaptive execution coalesces by size; never the number of cores."""
+    keys = [F.col(c) for c in group_cols] + [F.col(c) if isinstance(c, str) else c for c in order_cols]
+    ranged = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
+    return land(ranged.sortWithinPartitions(*keys).withColumn("_blk", F.spark_partition_id())
+                .withColumn("_idx", F.monotonically_increasing_id()), "ranges")
+
+
+def same_groups(left: Sequence[str], right: Sequence[str]) -> Column:
+    """Null-safe equality of two lists of columns."""
+    out = F.lit(True)
+    for a, b in zip(left, right, strict=True):
+        out = out & F.col(a).eqNullSafe(F.col(b))
+    return out
+
+
 def prefix_sum(df: DataFrame, order_cols: Sequence[str | Column], weight: str | Sequence[str] | None = None,
                group_cols: Sequence[str] = (), out: str | Sequence[str] = "cum",
                num_partitions: int | None = None) -> DataFrame:
@@ -50,12 +69,7 @@ def prefix_sum(df: DataFrame, order_cols: Sequence[str | Column], weight: str |
     g = list(group_cols)
     weights = [weight] if weight is None or isinstance(weight, str) else list(weight)
     outs = [out] if isinstance(out, str) else list(out)
-    keys = [F.col(c) for c in g] + [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    # ranges: the caller's count, else the configured shuffle partitions, which
-    # adaptive execution coalesces by size; never the number of cores
-    ranged = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
-    rows = land(ranged.sortWithinPartitions(*keys).withColumn("_blk", F.spark_partition_id())
-                .withColumn("_idx", F.monotonically_increasing_id()), "ranges")
+    rows = ordered_blocks(df, order_cols, g, num_partitions)
     one = [F.lit(1).cast("long") if w is None else F.coalesce(F.col(w), F.lit(0).cast(rows.schema[w].dataType)) for w in weights]
     totals = rows.groupBy("_blk", *g).agg(*[F.sum(c).alias(f"_t{i}") for i, c in enumerate(one)])
     before = Window.partitionBy(*g).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)  # a row a block and group
@@ -63,9 +77,7 @@ def prefix_sum(df: DataFrame, order_cols: Sequence[str | Column], weight: str |
                          *[F.sum(f"_t{i}").over(before).alias(f"_base{i}") for i in range(len(one))])
     # only groups that go on from an earlier block have a base
     base = base.where(F.col("_base0").isNotNull())
-    on = F.col("_blk") == F.col("_b")
-    for i, c in enumerate(g):
-        on = on & F.col(c).eqNullSafe(F.col(f"_g{i}"))
+    on = (F.col("_blk") == F.col("_b")) & same_groups(g, [f"_g{i}" for i in range(len(g))])
     inside = Window.partitionBy("_blk", *g).orderBy("_idx").rowsBetween(Window.unboundedPreceding, 0)
     sums = {o: F.sum(c).over(inside) + F.coalesce(F.col(f"_base{i}"), F.lit(0)) for i, (o, c) in enumerate(zip(outs, one, strict=True))}
     for i, (o, c) in enumerate(zip(outs, one, strict=True)):
