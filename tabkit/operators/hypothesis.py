@@ -90,6 +90,14 @@ def group_moments(df: DataFrame, value: str, group: str) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.avg(x).alias("mean"), F.var_samp(x).alias("var"))
 
 
+def with_p_value(stats: DataFrame, kind: str, *cols: str) -> DataFrame:
+    """Adds ``p_value`` (null where the statistic is not a number) and
+    ``significance`` to a table of statistics: a row a test, never data rows."""
+    p = DI.pvalue_udf(kind)(*[F.col(c).cast("double") for c in cols])
+    out = stats.withColumn("p_value", F.nanvl(p, F.lit(None).cast("double")))
+    return out.withColumn("significance", significance(F.col("p_value")))
+
+
 def anova_oneway(df: DataFrame, value: str, group: str) -> DataFrame:
     """F = (SSB/(k-1)) / (SSW/(N-k)) from per-group n, mean, variance;
     also eta^2 = SSB/(SSB+SSW) (H13)."""
@@ -103,7 +111,8 @@ def anova_oneway(df: DataFrame, value: str, group: str) -> DataFrame:
     return ss.select(F.lit(k - 1).cast("long").alias("df_between"), F.lit(int(N) - k).cast("long").alias("df_within"),
                      "ssb", "ssw",
                      ((F.col("ssb") / F.lit(k - 1.0)) / (F.col("ssw") / F.lit(N - k))).alias("f"),
-                     (F.col("ssb") / (F.col("ssb") + F.col("ssw"))).alias("eta2"))
+                     (F.col("ssb") / (F.col("ssb") + F.col("ssw"))).alias("eta2")).transform(
+        with_p_value, "f", "f", "df_between", "df_within")
 
 
 def kruskal_wallis(df: DataFrame, value: str, group: str) -> DataFrame:
@@ -118,7 +127,8 @@ def kruskal_wallis(df: DataFrame, value: str, group: str) -> DataFrame:
     h = rs.agg(F.count(F.lit(1)).alias("k"),
                (F.lit(12.0 / (N * (N + 1))) * F.sum(F.col("r_g") * F.col("r_g") / F.col("n_g")) - F.lit(3 * (N + 1))).alias("h_raw"))
     c = 1 - T / (N ** 3 - N) if N > 1 else 1.0
-    return h.select((F.col("k") - 1).cast("long").alias("df"), (F.col("h_raw") / F.lit(c)).alias("h"))
+    out = h.select((F.col("k") - 1).cast("long").alias("df"), (F.col("h_raw") / F.lit(c)).alias("h"))
+    return with_p_value(out, "chi2", "h", "df")
 
 
 def levene_median(df: DataFrame, value: str, group: str) -> DataFrame:
@@ -127,7 +137,7 @@ def levene_median(df: DataFrame, value: str, group: str) -> DataFrame:
     med = exact_quantiles(base, value, [0.5], [group]).withColumnRenamed("q_0", "_med")
     dev = base.join(med, group).select(group, F.abs(F.col(value) - F.col("_med")).alias("_dev"))
     a = anova_oneway(dev, "_dev", group)
-    return a.select("df_between", "df_within", F.col("f").alias("w"))
+    return a.select("df_between", "df_within", F.col("f").alias("w"), "p_value", "significance")
 
 
 def mann_whitney(df: DataFrame, value: str, group: str, a, b) -> DataFrame:
@@ -153,13 +163,48 @@ def mann_whitney(df: DataFrame, value: str, group: str, a, b) -> DataFrame:
     return out.withColumn("p_value", F.lit(2.0) * DI.norm_sf_col(F.col("z")))
 
 
-def correlation_tests(df: DataFrame, target: str, cols: Sequence[str]) -> DataFrame:
-    """Pearson r per feature with its t statistic (p by the t tail)."""
-    one = df.agg(F.count(F.lit(1)).alias("__n"), *[F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(c)
-                                                   for c in cols])
-    st = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("r")) for c in cols])).alias("s")
-    out = one.select("__n", st).select(F.col("__n").alias("n"), "s.*")
-    return out.withColumn("t", F.col("r") * F.sqrt((F.col("n") - 2) / (F.lit(1.0) - F.col("r") * F.col("r"))))
+def spearman_r(df: DataFrame, a: str, b: str) -> DataFrame:
+    """(n, r): rank correlation of two columns over the rows that have both, from
+    distinct pairs with their counts, so a value that holds a third of the rows
+    is a handful of pairs. r is null where a column is constant."""
+    rows = _clean(_clean(df.select(a, b), a), b)
+    pairs = rows.groupBy(a, b).agg(F.count(F.lit(1)).alias("_c"))
+    for c in (a, b):
+        rank = value_positions(rows, c).select(c, ((F.col("pos_start") + F.col("pos_end")) / 2.0).alias(f"_r_{c}"))
+        pairs = pairs.join(rank, c)
+    # ranks have mean (n + 1) / 2
+    n = F.col("_n")
+    total = scalars(pairs.agg(F.sum("_c").alias("n")))["n"] or 0
+    da, db = (F.col(f"_r_{c}") - F.lit((total + 1) / 2.0) for c in (a, b))
+    st = pairs.agg(F.sum("_c").alias("_n"), F.sum(F.col("_c") * da * db).alias("ab"), F.sum(F.col("_c") * da * da).alias("aa"),
+                   F.sum(F.col("_c") * db * db).alias("bb"))
+    return st.select(F.coalesce(n, F.lit(0)).cast("long").alias("n"),
+                     (F.col("ab") / F.nullif(F.sqrt(F.col("aa") * F.col("bb")), F.lit(0.0))).alias("r"))
+
+
+def correlation_tests(df: DataFrame, target: str, cols: Sequence[str], methods: Sequence[str] = ("pearson", "spearman")) -> DataFrame:
+    """Per feature and method the correlation with the target over the rows
+    that have both: feature, method, n, r, t, p_value, significance (two-sided,
+    Student's t with n - 2 degrees). Null where a column is constant or n < 3."""
+    number = lambda c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+    parts = []
+    if "pearson" in methods:
+        def pearson(c):
+            x, y = (F.when((number(c) + number(target)).isNotNull(), number(k)) for k in (c, target))
+            spread = F.sqrt(F.var_pop(x) * F.var_pop(y))
+            return F.struct(F.lit(c).alias("feature"), F.lit("pearson").alias("method"), F.count(x).alias("n"),
+                            (F.covar_pop(x, y) / F.nullif(spread, F.lit(0.0))).alias("r")).alias(c)
+        one = df.agg(*[pearson(c) for c in cols])
+        parts.append(one.select(F.explode(F.array(*cols)).alias("s")).select("s.*"))
+    if "spearman" in methods:
+        parts += [spearman_r(df, c, target).select(F.lit(c).alias("feature"), F.lit("spearman").alias("method"), "n", "r") for c in cols]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    free = F.col("n") - 2
+    t = F.when(free > 0, F.when(F.abs("r") < 1, F.col("r") * F.sqrt(free / (F.lit(1.0) - F.col("r") * F.col("r"))))
+               .when(F.abs("r") >= 1, F.signum("r") * F.lit(float("inf"))))
+    return with_p_value(out.withColumn("t", t).withColumn("_free", free), "t2", "t", "_free").drop("_free")
 
 
 def chi2_independence(df: DataFrame, a: str, b: str, yates: bool = True, eps: float = 0.0) -> DataFrame:
@@ -192,8 +237,9 @@ def chi2_independence(df: DataFrame, a: str, b: str, yates: bool = True, eps: fl
         chi = j.agg((F.sum(F.pow(F.col("o") - F.col("e"), 2) / F.col("e")) + (F.lit(N) - F.sum("e"))).alias("chi2"))
     m = min(r, k) - 1
     v = F.sqrt(F.col("chi2") / (F.lit(N * m) + F.lit(eps))) if m > 0 else F.lit(None).cast("double")
-    return chi.select(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.lit(int(N)).cast("long").alias("n"),
-                      F.lit(dof).cast("long").alias("dof"), "chi2", v.alias("cramers_v"))
+    out = chi.select(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.lit(int(N)).cast("long").alias("n"),
+                     F.lit(dof).cast("long").alias("dof"), "chi2", v.alias("cramers_v"))
+    return with_p_value(out, "chi2", "chi2", "dof")
 
 
 def cramers_v_pairs(df: DataFrame, cols: Sequence[str], key: str | None = None) -> DataFrame:

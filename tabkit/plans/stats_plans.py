@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from ..functions import dist as DI
@@ -64,6 +66,33 @@ s AS (SELECT sum(n * pow(mean - gm, 2)) AS ssb, sum((n - 1) * coalesce(var, 0))
       FROM g, t)"""
 
 
+def _sig(p: str) -> str:
+    return f"CASE WHEN {p} < 0.05 THEN 'significant' ELSE 'not significant' END"
+
+
+def f4_sf_sql(f: str, d2: str) -> str:
+    """Tail of F with 4 and d2 degrees (closed for an even first number)."""
+    x = f"({d2}) / (({d2}) + 4.0 * ({f}))"
+    return f"(pow({x}, ({d2}) / 2.0) * (1 + ({d2}) / 2.0 * (1 - {x})))"
+
+
+def chi2_even_sf_sql(x: str, df: int) -> str:
+    """Tail of chi-squared with an even number of degrees: a Poisson sum."""
+    terms = " + ".join(f"pow(({x}) / 2.0, {i}) / {math.factorial(i)}.0" for i in range(df // 2))
+    return f"(exp(-({x}) / 2.0) * ({terms}))"
+
+
+def t_two_sided_sql(t: str, nu: str) -> str:
+    """Two-sided tail of Student's t: the finite sums for even and odd degrees."""
+    cos2, sin = f"(({nu}) / (({nu}) + ({t}) * ({t})))", f"sqrt(({t}) * ({t}) / (({nu}) + ({t}) * ({t})))"
+    even = (f"{sin} * list_sum(list_transform(range(0, ({nu}) // 2), lambda j: "
+            f"exp(lgamma(j + 0.5) - lgamma(0.5) - lgamma(j + 1.0) + j * ln({cos2}))))")
+    odd = (f"2 / pi() * (asin({sin}) + {sin} * coalesce(list_sum(list_transform(range(0, (({nu}) - 1) // 2), lambda j: "
+           f"exp(0.5 * ln(pi()) - ln(2) + lgamma(j + 1.0) - lgamma(j + 1.5) + (j + 0.5) * ln({cos2})))), 0))")
+    return f"(1 - CASE WHEN ({nu}) % 2 = 0 THEN {even} ELSE {odd} END)"
+
+
+_F = "(ssb / (k - 1)) / (ssw / (tot_n - k))"
 H03_SRC = "SELECT o_orderpriority, count(*) AS n, avg(o_totalprice) AS mean, var_samp(o_totalprice) AS var FROM orders GROUP BY 1"
 
 
@@ -71,12 +100,13 @@ H03_SRC = "SELECT o_orderpriority, count(*) AS n, avg(o_totalprice) AS mean, var
 SELECT CAST(k - 1 AS BIGINT) AS df_between, CAST(tot_n - k AS BIGINT) AS df_within,
   round((ssb / (k - 1)) / (ssw / (tot_n - k)), 9) AS f, round(ssb / (ssb + ssw), 12) AS eta2,
   CASE WHEN ssb / (ssb + ssw) < 0.01 THEN 'negligible' WHEN ssb / (ssb + ssw) < 0.06 THEN 'small'
-       WHEN ssb / (ssb + ssw) < 0.14 THEN 'medium' ELSE 'large' END AS eta2_magnitude FROM s""")
+       WHEN ssb / (ssb + ssw) < 0.14 THEN 'medium' ELSE 'large' END AS eta2_magnitude,
+  round(p, 6) AS p_value, """ + _sig("p") + " AS significance FROM (SELECT *, " + f4_sf_sql(_F, "tot_n - k") + " AS p FROM s)")
 def h03(spark, sf_dir):
     o = Tables(spark, sf_dir).orders
     a = H.anova_oneway(o, "o_totalprice", "o_orderpriority")
     return a.select("df_between", "df_within", rnd("f", 9).alias("f"), rnd("eta2", 12).alias("eta2"),
-                    H.eta2_magnitude(F.col("eta2")).alias("eta2_magnitude"))
+                    H.eta2_magnitude(F.col("eta2")).alias("eta2_magnitude"), rnd("p_value", 6).alias("p_value"), "significance")
 
 
 @plan("h04_kruskal_wallis", "H04,Q01", """
@@ -85,13 +115,14 @@ WITH r AS (SELECT l_returnflag AS g, rank() OVER (ORDER BY l_quantity) + (count(
 t AS (SELECT count(*)::DOUBLE AS tot_n FROM lineitem),
 ties AS (SELECT sum(pow(c, 3) - c) AS "T" FROM (SELECT count(*)::DOUBLE AS c FROM lineitem GROUP BY l_quantity)),
 rs AS (SELECT g, count(*) AS n_g, sum(rk) AS r_g FROM r GROUP BY g)
-SELECT CAST(count(*) - 1 AS BIGINT) AS df,
-  round((12.0 / (any_value(tot_n) * (any_value(tot_n) + 1)) * sum(r_g * r_g / n_g) - 3 * (any_value(tot_n) + 1))
-        / (1 - any_value("T") / (pow(any_value(tot_n), 3) - any_value(tot_n))), 6) AS h
-FROM rs, t, ties""")
+SELECT df, round(h, 6) AS h, round(""" + chi2_even_sf_sql("h", 2) + ", 6) AS p_value, " + _sig(chi2_even_sf_sql("h", 2)) + """ AS significance
+FROM (SELECT CAST(count(*) - 1 AS BIGINT) AS df,
+  (12.0 / (any_value(tot_n) * (any_value(tot_n) + 1)) * sum(r_g * r_g / n_g) - 3 * (any_value(tot_n) + 1))
+        / (1 - any_value("T") / (pow(any_value(tot_n), 3) - any_value(tot_n))) AS h
+FROM rs, t, ties)""")
 def h04(spark, sf_dir):
     li = Tables(spark, sf_dir).lineitem
-    return H.kruskal_wallis(li, "l_quantity", "l_returnflag").withColumn("h", rnd("h", 6))
+    return H.kruskal_wallis(li, "l_quantity", "l_returnflag").withColumn("h", rnd("h", 6)).withColumn("p_value", rnd("p_value", 6))
 
 
 @plan("h05_levene_median", "H05", _anova_sql("""
@@ -99,10 +130,12 @@ SELECT o.o_orderpriority, count(*) AS n, avg(abs(o_totalprice - med)) AS mean, v
 FROM orders o JOIN (SELECT o_orderpriority, median(o_totalprice) AS med FROM orders GROUP BY 1) m
   ON o.o_orderpriority = m.o_orderpriority GROUP BY 1""") + """
 SELECT CAST(k - 1 AS BIGINT) AS df_between, CAST(tot_n - k AS BIGINT) AS df_within,
-  round((ssb / (k - 1)) / (ssw / (tot_n - k)), 9) AS w FROM s""")
+  round((ssb / (k - 1)) / (ssw / (tot_n - k)), 9) AS w, round(p, 6) AS p_value,
+  """ + _sig("p") + " AS significance FROM (SELECT *, " + f4_sf_sql(_F, "tot_n - k") + " AS p FROM s)")
 def h05(spark, sf_dir):
     o = Tables(spark, sf_dir).orders
-    return H.levene_median(o, "o_totalprice", "o_orderpriority").withColumn("w", rnd("w", 9))
+    return (H.levene_median(o, "o_totalprice", "o_orderpriority").withColumn("w", rnd("w", 9))
+            .withColumn("p_value", rnd("p_value", 6)))
 
 
 @plan("h06_mann_whitney", "H06,Q01", f"""
@@ -125,14 +158,22 @@ def h06(spark, sf_dir):
                       H.significance(F.col("p_value")).alias("significance"))
 
 
-@plan("h07_correlation_tests", "H07", "\nUNION ALL\n".join(
-    f"SELECT count(*) AS n, '{c}' AS feature, round(corr({c}, l_extendedprice), 9) + 0.0 AS r, "
-    f"round(corr({c}, l_extendedprice) * sqrt((count(*) - 2) / (1 - pow(corr({c}, l_extendedprice), 2))), 6) + 0.0 AS t "
-    f"FROM lineitem" for c in ["l_quantity", "l_discount", "l_tax"]))
+H07_COLS = ["l_quantity", "l_discount", "l_tax"]
+_RANK = "rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0"
+
+
+@plan("h07_correlation_tests", "H07", "WITH c AS (" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS feature, 'pearson' AS method, count(*) AS n, corr({c}, l_extendedprice) AS r FROM lineitem\n"
+    f"UNION ALL SELECT '{c}', 'spearman', count(*), corr(a, b) FROM (SELECT {_RANK.format(c=c)} AS a, "
+    f"{_RANK.format(c='l_extendedprice')} AS b FROM lineitem)" for c in H07_COLS) + """),
+s AS (SELECT *, r * sqrt((n - 2) / (1 - r * r)) AS t FROM c),
+p AS (SELECT *, """ + t_two_sided_sql("t", "n - 2") + """ AS p FROM s)
+SELECT feature, method, n, round(r, 9) + 0.0 AS r, round(t, 6) + 0.0 AS t, round(p, 6) + 0.0 AS p_value, """
+      + _sig("p") + " AS significance FROM p")
 def h07(spark, sf_dir):
-    li = Tables(spark, sf_dir).lineitem
-    out = H.correlation_tests(li, "l_extendedprice", ["l_quantity", "l_discount", "l_tax"])
-    return out.select("n", "feature", rnd("r", 9).alias("r"), rnd("t", 6).alias("t"))
+    out = H.correlation_tests(Tables(spark, sf_dir).lineitem, "l_extendedprice", H07_COLS)
+    return out.select("feature", "method", "n", rnd("r", 9).alias("r"), rnd("t", 6).alias("t"),
+                      rnd("p_value", 6).alias("p_value"), "significance")
 
 
 def _chi_sql(src: str, a: str, b: str, yates: bool = False) -> str:
@@ -150,16 +191,21 @@ c AS (SELECT a, b, count(*) AS o FROM s GROUP BY a, b),
 ra AS (SELECT a, sum(o) AS ra FROM c GROUP BY a), rb AS (SELECT b, sum(o) AS rb FROM c GROUP BY b),
 n AS (SELECT sum(o)::DOUBLE AS "N", count(DISTINCT a) AS r, count(DISTINCT b) AS k FROM c),{body}
 SELECT '{a}' AS feature_a, '{b}' AS feature_b, CAST("N" AS BIGINT) AS n, CAST((r - 1) * (k - 1) AS BIGINT) AS dof,
-  round(chi2, 6) AS chi2, round(sqrt(chi2 / ("N" * (least(r, k) - 1))), 9) AS cramers_v FROM x, n)"""
+  round(chi2, 6) AS chi2, round(sqrt(chi2 / ("N" * (least(r, k) - 1))), 9) AS cramers_v,
+  chi2 AS exact_chi2 FROM x, n)"""
 
 
 ORD_FLAGS = ("(SELECT CAST(o_orderpriority IN ('1-URGENT', '2-HIGH') AS INTEGER) AS is_urgent, "
              "CAST(o_totalprice > 200000 AS INTEGER) AS is_big FROM orders)")
 
 
+_H08_P = (f"CASE WHEN dof = 1 THEN 2 * {DI.norm_sf_sql('sqrt(exact_chi2)')} ELSE {chi2_even_sf_sql('exact_chi2', 16)} END")
+
+
 @plan("h08_chi2_cramers_v", "H08,M11,M12",
-      _chi_sql(OC_SQL, "c_mktsegment", "o_orderpriority") + "\nUNION ALL\n" +
-      _chi_sql(ORD_FLAGS, "is_urgent", "is_big", yates=True))
+      "SELECT * EXCLUDE (exact_chi2, p), round(p, 6) AS p_value, " + _sig("p") + f" AS significance FROM (SELECT *, {_H08_P} AS p FROM ("
+      + _chi_sql(OC_SQL, "c_mktsegment", "o_orderpriority") + "\nUNION ALL\n" +
+      _chi_sql(ORD_FLAGS, "is_urgent", "is_big", yates=True) + "))")
 def h08(spark, sf_dir):
     t = Tables(spark, sf_dir)
     oc = orders_customers(t)
@@ -168,7 +214,7 @@ def h08(spark, sf_dir):
                             (F.col("o_totalprice") > 200000).cast("int").alias("is_big"))
     b = H.chi2_independence(flags, "is_urgent", "is_big", yates=True)
     return a.unionByName(b).select("feature_a", "feature_b", "n", "dof", rnd("chi2", 6).alias("chi2"),
-                                   rnd("cramers_v", 9).alias("cramers_v"))
+                                   rnd("cramers_v", 9).alias("cramers_v"), rnd("p_value", 6).alias("p_value"), "significance")
 
 
 V_COLS = ["o_orderpriority", "o_orderstatus", "c_mktsegment"]
@@ -286,20 +332,3 @@ def h16(spark, sf_dir):
 @plan("h17_ks_normality", "H17")
 def h17(spark, sf_dir):
     return H.ks_normality(Tables(spark, sf_dir).orders, "o_totalprice")
-
-
-@plan("h_pvalues", "H03,H04,H05,H07,H08")
-def h_pvalues(spark, sf_dir):
-    """p-values of the F / chi^2 / t statistics from the tails in ``dist``."""
-    t = Tables(spark, sf_dir)
-    a = H.anova_oneway(t.orders, "o_totalprice", "o_orderpriority").first()
-    k = H.kruskal_wallis(t.lineitem, "l_quantity", "l_returnflag").first()
-    lv = H.levene_median(t.orders, "o_totalprice", "o_orderpriority").first()
-    c = H.chi2_independence(orders_customers(t), "c_mktsegment", "o_orderpriority").first()
-    r = H.correlation_tests(t.lineitem, "l_extendedprice", ["l_discount"]).first()
-    rows = [("anova", float(a["f"]), DI.f_sf(a["f"], a["df_between"], a["df_within"])),
-            ("kruskal", float(k["h"]), DI.chi2_sf(k["h"], k["df"])),
-            ("levene", float(lv["w"]), DI.f_sf(lv["w"], lv["df_between"], lv["df_within"])),
-            ("chi2", float(c["chi2"]), DI.chi2_sf(c["chi2"], c["dof"])),
-            ("pearson_t", float(r["t"]), DI.t_two_sided(r["t"], r["n"] - 2))]
-    return spark.createDataFrame(rows, "test string, statistic double, p_value double")
