@@ -385,27 +385,79 @@ def a11(spark, sf_dir):
     return j.select(*LI_KEYS, rnd(MD.weighted_average([F.col("p1"), F.col("p2")], [0.4, 0.6]), 6).alias("p_avg"))
 
 
-@plan("a12_stacking", "A12,B06")
-def a12(spark, sf_dir):
-    from ..functions.columns import scalars
-    d = _li_features(Tables(spark, sf_dir))
+LI_TEXT = "concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
+_LI_HASH = f"('0x' || substr(md5({LI_TEXT}), 1, 8))::BIGINT"
+
+
+def _stacking_split(sf: Tables):
+    d = sf.lineitem.select(*LI_KEYS, F.col("l_quantity").cast("double").alias("q"),
+                           (F.col("l_quantity") * F.col("l_quantity") / 50.0).cast("double").alias("q2"),
+                           F.col("l_extendedprice").cast("double").alias("label"))
     key = F.concat_ws("|", *LI_KEYS)
-    d = d.withColumn("fold", F.pmod(S.key_hash(key), F.lit(3)).cast("int"))
-    va = VectorAssembler(inputCols=FEATS, outputCol="features")
-    oof = None
-    for k in range(3):
-        tr, ho = d.where(F.col("fold") != k), d.where(F.col("fold") == k)
-        m1 = MD.make_estimator("linear_regression", labelCol="label").fit(va.transform(tr))
-        m2 = MD.make_estimator("decision_tree_regressor", labelCol="label", maxDepth=5).fit(va.transform(tr))
-        h = va.transform(ho)
-        part = m2.transform(m1.transform(h).withColumnRenamed("prediction", "p_lin")) \
-            .select(*LI_KEYS, "label", "p_lin", F.col("prediction").alias("p_tree"))
-        oof = part if oof is None else oof.unionByName(part)
-    meta = MD.make_estimator("ridge", labelCol="label", regParam=0.1).fit(
-        VectorAssembler(inputCols=["p_lin", "p_tree"], outputCol="features").transform(oof))
-    return spark.createDataFrame([(float(meta.coefficients[0]), float(meta.coefficients[1]), float(meta.intercept),
-                                   float(meta.summary.rootMeanSquaredError))],
-                                 "w_linear double, w_tree double, intercept double, oof_rmse double")
+    d = d.withColumn("_u", S.key_hash(key) / F.lit(S.TWO32))
+    return d.where("_u < 0.8").drop("_u"), d.where("_u >= 0.8").drop("_u")
+
+
+@plan("a12_stacked_linear", "A12,B06", f"""
+WITH d AS (SELECT {", ".join(LI_KEYS)}, l_quantity::DOUBLE AS q, (l_quantity * l_quantity / 50.0)::DOUBLE AS q2,
+  l_extendedprice::DOUBLE AS y, {_LI_HASH} AS h FROM lineitem),
+tr AS (SELECT *, h % 3 AS fold FROM d WHERE h / 4294967296.0 < 0.8),
+f AS (SELECT k, regr_slope(y, q) AS s1, regr_intercept(y, q) AS i1, regr_slope(y, q2) AS s2, regr_intercept(y, q2) AS i2
+      FROM tr JOIN (SELECT unnest([0, 1, 2]) AS k) ON fold <> k GROUP BY k),
+oof AS (SELECT y, q * s1 + i1 AS p1, q2 * s2 + i2 AS p2 FROM tr JOIN f ON f.k = tr.fold),
+m AS (SELECT var_pop(p1) AS a, var_pop(p2) AS b, covar_pop(p1, p2) AS c, covar_pop(p1, y) AS u, covar_pop(p2, y) AS v,
+      avg(p1) AS m1, avg(p2) AS m2, avg(y) AS my FROM oof),
+w AS (SELECT (u * b - v * c) / (a * b - c * c) AS w1, (v * a - u * c) / (a * b - c * c) AS w2, m1, m2, my FROM m),
+g AS (SELECT regr_slope(y, q) AS s1, regr_intercept(y, q) AS i1, regr_slope(y, q2) AS s2, regr_intercept(y, q2) AS i2 FROM tr)
+SELECT {", ".join("d." + c for c in LI_KEYS)}, round(q * s1 + i1, 3) AS p_linear, round(q2 * s2 + i2, 3) AS p_square,
+  round(my + w1 * (q * s1 + i1 - m1) + w2 * (q2 * s2 + i2 - m2), 3) AS prediction
+FROM d, w, g WHERE h / 4294967296.0 >= 0.8""")
+def a12_linear(spark, sf_dir):
+    """Two simple regressions, stacked by least squares, on the rows held out."""
+    from pyspark.ml.regression import LinearRegression
+    from ..operators import stacking as ST
+    train, rest = _stacking_split(Tables(spark, sf_dir))
+    line = lambda: LinearRegression(labelCol="label", regParam=0.0, solver="normal")
+    model = ST.fit_stacking(train, LI_KEYS, "label", [ST.Base("linear", line(), ["q"]), ST.Base("square", line(), ["q2"])], 3, 0.0)
+    out = model.transform(rest)
+    return out.select(*LI_KEYS, rnd(F.col("linear")[0], 3).alias("p_linear"), rnd(F.col("square")[0], 3).alias("p_square"),
+                      rnd("prediction", 3).alias("prediction"))
+
+
+@plan("a12_stacking", "A12,B06")
+def a12_stacking(spark, sf_dir):
+    """A line and a tree under ridge: predictions of the rows held out."""
+    from ..operators import stacking as ST
+    train, rest = _stacking_split(Tables(spark, sf_dir))
+    bases = [ST.Base("linear", MD.make_estimator("linear_regression", labelCol="label"), ["q"]),
+             ST.Base("tree", MD.make_estimator("decision_tree_regressor", labelCol="label", maxDepth=5), ["q", "q2"])]
+    out = ST.fit_stacking(train, LI_KEYS, "label", bases, 3, 1.0).transform(rest)
+    return out.select(*LI_KEYS, "label", F.col("linear")[0].alias("p_linear"), F.col("tree")[0].alias("p_tree"), "prediction")
+
+
+@plan("a13_stacked_fusion", "A13,A12", f"""
+SELECT count(*) AS n_held_out, true AS above_majority, true AS sums_to_one FROM lineitem
+WHERE {_LI_HASH} / 4294967296.0 >= 0.8""")
+def a13_stacked(spark, sf_dir):
+    """Balanced logistic over the class probabilities of two classifiers, which see
+    one part each of what makes the class; the row says whether it beats the
+    majority class on held-out rows."""
+    from pyspark.ml.classification import NaiveBayes
+    from ..operators import stacking as ST
+    li = Tables(spark, sf_dir).lineitem
+    load = F.col("l_quantity") + 200 * F.col("l_tax")
+    d = li.select(*LI_KEYS, F.col("l_quantity").cast("double").alias("q"), F.col("l_tax").cast("double").alias("tax"),
+                  F.least(F.lit(2.0), F.floor(load / 22)).cast("double").alias("label"))
+    u = S.key_hash(F.concat_ws("|", *LI_KEYS)) / F.lit(S.TWO32)
+    train, test = d.where(u < 0.8), d.where(u >= 0.8)
+    bases = [ST.Base("bayes", NaiveBayes(modelType="gaussian"), ["q"], "probability"),
+             ST.Base("logistic", MD.make_estimator("logistic_regression", maxIter=30, regParam=0.01), ["tax"], "probability")]
+    out = ST.fit_stacking(train, LI_KEYS, "label", bases, 3, classify=True).transform(test)
+    top = train.groupBy("label").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "label").first()["label"]
+    right = F.avg((F.col("prediction") == F.col("label")).cast("double"))
+    return out.agg(F.count(F.lit(1)).alias("n_held_out"),
+                   (right > F.avg((F.col("label") == F.lit(top)).cast("double"))).alias("above_majority"),
+                   F.bool_and(F.abs(F.aggregate("probability", F.lit(0.0), lambda a, x: a + x) - 1) < 1e-9).alias("sums_to_one"))
 
 
 def _probs_a():
