@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -31,10 +32,29 @@ def land(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-#: Name of the locator column; reserved.
+#: Name of the locator column; a column of that name gets another one meanwhile (``keeps_locator_name``).
 LOC = "__loc"
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or the first of name_2, name_3, ... that is no column of ``df``."""
+    taken, k = {c.lower() for c in df.columns}, 1
+    while (out := name if k == 1 else f"{name}_{k}").lower() in taken:
+        k += 1
+    return out
+
+
+def keeps_locator_name(drop):
+    """For functions that take and return the columns of their first argument."""
+    @functools.wraps(drop)
+    def run(docs: DataFrame, *args, **kwargs) -> DataFrame:
+        if LOC not in docs.columns:
+            return drop(docs, *args, **kwargs)
+        other = free_name(docs, LOC)
+        return drop(docs.withColumnRenamed(LOC, other), *args, **kwargs).withColumnRenamed(other, LOC)
+    return run
+
+
 def located(docs: DataFrame) -> DataFrame:
     """``docs`` plus ``__loc`` = (file, row): where Spark can read the row again.
 

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_SPACE, LOC, in_classes, land, located, pick
+from .common import ASCII_SPACE, LOC, in_classes, keeps_locator_name, land, located, pick
 
 WINDOW = 8
 #: Windows that must match on one alignment, or all of a shorter item.
@@ -244,6 +244,7 @@ def _contaminated(src: DataFrame, items: DataFrame, window: int = WINDOW, id_col
         F.col("best.n_slots").cast("long").alias("n_slots"), "best.consistency", "best.same_values")
 
 
+@keeps_locator_name
 def drop_contaminated(docs: DataFrame, items: DataFrame, **names: str) -> DataFrame:
     """``docs`` without the rows that hold an item, columns as given."""
     src = located(docs)

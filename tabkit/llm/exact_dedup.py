@@ -19,7 +19,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_SPACE, LOC, in_classes, land, located, pick, shared_path
+from .common import ASCII_SPACE, LOC, in_classes, keeps_locator_name, land, located, pick, shared_path
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -114,6 +114,7 @@ def _dedup(src: DataFrame, id_col: str, text_col: str, state_dir: str | None = N
     return rows.drop("chars").withColumn("kept", F.col("loc") == F.col("keep_loc"))
 
 
+@keeps_locator_name
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that ``exact_dedup`` drops, columns as given."""
     src = located(docs)

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOC, land, located, pick, text_bytes
+from .common import LOC, keeps_locator_name, land, located, pick, text_bytes
 from .ring import (U64, bucket_slices, buckets_for, cut_runs, mix, pack_hashes, pack_owners,
                    unpack_hashes, unpack_owners, word_hashes)
 
@@ -389,6 +389,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component_id")))
 
 
+@keeps_locator_name
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each class: the one with the least id (null ids
     last), then the first by locator. Columns as given."""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from . import (collocations, decontamination, exact_dedup, exact_fit, jaccard_join, packing, preferences, secrets,
                sharding, substring_dedup, token_files, toxicity, whitening)
-from .common import table
+from .common import free_name, table
 
 
 def digests(pieces: DataFrame) -> DataFrame:
@@ -27,8 +27,9 @@ def op2_arrow_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     paths, _ = secrets.blob_scan(docs)
-    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
-    spans = secrets.joined_spans()
+    held = free_name(docs, "spans")
+    count = lambda kind: F.size(F.filter(held, lambda s: s["kind"] == kind)).cast("long")
+    spans = secrets.joined_spans(held)
     return paths.select("doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"),
                         count("hex").alias("n_hex"), F.sha2(spans, 256).alias("base_sha256"), spans.alias("spans"))
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOC, land, located, pick
+from .common import LOC, free_name, land, located, pick
 
 # Rule kinds in their order, patterns and least lengths.
 RULES = (
@@ -54,14 +54,17 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def blob_scan(docs: DataFrame, text_col: str = "text", rules: str = RULE_VERSION,
               ledger: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Returns (paths, new): ``paths`` is ``docs`` (all columns) plus
-    ``digest`` and ``spans`` of its blob; ``new`` holds the ledger rows
+    ``digest`` and ``spans`` of its blob (under the first free name of digest,
+    digest_2, ... where ``docs`` has such columns); ``new`` holds the ledger rows
     (digest, rules, spans) scanned now, to be appended to the caller's ledger
     table, blobs without findings included.
 
     ``ledger`` has the columns of ``new``; pairs in it are not scanned again.
     A null text is the empty blob. Repeated rows share one blob. An empty table
     gives empty results."""
-    src = located(docs)
+    names = [free_name(docs, n) for n in ("digest", "spans")]
+    given = [free_name(docs, "__given")] * (LOC in docs.columns)
+    src = located(docs.withColumnRenamed(LOC, given[0]) if given else docs)
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     digest = F.sha2(text, 256)
     blobs = src.select(digest.alias("digest"), F.col(LOC)).groupBy("digest").agg(F.min(LOC).alias(LOC))
@@ -72,14 +75,15 @@ def blob_scan(docs: DataFrame, text_col: str = "text", rules: str = RULE_VERSION
               .select("digest", "rules", "text"))
     new = land(unseen.mapInArrow(_scan, FINDINGS), "blob-ledger")
     known = new if ledger is None else new.unionByName(ledger.where(F.col("rules") == rules).select(*new.columns))
-    hits = known.where(F.size("spans") > 0).select(F.col("digest").alias("__digest"), F.col("spans").alias("__spans"))
-    paths = src.withColumn("__d", digest).join(hits.hint("shuffle_hash"), F.col("__d") == F.col("__digest"), "left")
+    own = [F.col(f"`{given[0] if c == LOC else c}`").alias(c) for c in docs.columns]
+    mine, found, spans = (free_name(docs, n) for n in ("__mine", "__digest", "__spans"))
+    hits = known.where(F.size("spans") > 0).select(F.col("digest").alias(found), F.col("spans").alias(spans))
+    paths = src.select(*own, digest.alias(mine)).join(hits.hint("shuffle_hash"), F.col(mine) == F.col(found), "left")
     empty = F.expr("cast(array() as array<struct<kind:string,start:int,end:int>>)")
-    return paths.select(*pick(*docs.columns), F.col("__d").alias("digest"),
-                        F.coalesce("__spans", empty).alias("spans")), new
+    return paths.select(*pick(*docs.columns), F.col(mine).alias(names[0]), F.coalesce(spans, empty).alias(names[1])), new
 
 
-def joined_spans() -> F.Column:
+def joined_spans(spans: str = "spans") -> F.Column:
     """kind:start:end of every span, comma-joined."""
-    return F.array_join(F.transform("spans", lambda s: F.concat_ws(
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(
         ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")

@@ -436,3 +436,16 @@ def test_empty_tables(none):
 
 def test_held_out_rule():
     assert toxicity.is_held_out(7) == (zlib.crc32(b"7") % 5 == 0)
+
+
+def test_clashing_names_of_results_and_locator(spark, docs, rows):
+    """The fixture has columns digest, spans and loc; here also the locator's name."""
+    paths, new = secrets.blob_scan(docs)
+    assert paths.columns == [*docs.columns, "digest_2", "spans_2"]
+    assert {r["digest"] for r in paths.collect()} == {"d"}
+    named = docs.withColumn("__loc", F.lit(7))
+    items = spark.createDataFrame([(1, "no such words in any of these texts at all")], "item_id long, text string")
+    for drop in (exact_dedup.drop_copies, jaccard_join.drop_near_copies,
+                 lambda d: decontamination.drop_contaminated(d, items), lambda d: secrets.blob_scan(d)[0].drop("digest_2", "spans_2")):
+        out = drop(named)
+        assert out.columns == named.columns and {r["__loc"] for r in out.collect()} == {7}
