@@ -59,6 +59,21 @@ def norm_cdf_sql(z: str) -> str:
     return f"(0.5 * {erfc_sql(f'(-({z}) / {math.sqrt(2.0)})')})"
 
 
+#: Beyond this many deviations the tail's logarithm comes from its asymptotic form.
+FAR = 20.0
+
+
+def norm_logcdf_col(z: Column) -> Column:
+    """ln P(Z <= z), finite in both tails; ln P(Z > z) is that of -z."""
+    far = -z * z / 2 - F.ln(F.greatest(-z, F.lit(FAR))) - F.lit(0.5 * math.log(2 * math.pi))
+    return F.when(z < -FAR, far).otherwise(F.ln(norm_sf_col(F.greatest(-z, F.lit(-FAR)))))
+
+
+def norm_logcdf_sql(z: str) -> str:
+    far = f"-({z}) * ({z}) / 2 - ln(greatest(-({z}), {FAR})) - {0.5 * math.log(2 * math.pi)!r}"
+    return f"CASE WHEN ({z}) < -{FAR} THEN {far} ELSE ln({norm_sf_sql(f'greatest(-({z}), -{FAR})')}) END"
+
+
 def norm_sf_col(z: str | Column) -> Column:
     return F.lit(0.5) * erfc_col(col(z) / F.lit(math.sqrt(2.0)))
 

@@ -63,9 +63,9 @@ def anderson_darling(df: DataFrame, value: str, key_cols: Sequence[str]) -> Data
     n, m, s = int(st["n"]), float(st["m"]), float(st["s"])
     pos = row_positions(base.select(value, *key_cols), [value, *key_cols])
     z = (F.col(value) - F.lit(m)) / F.lit(s)
-    cdf = DI.norm_cdf_col(z)
     i = F.col("pos").cast("double")
-    term = (F.lit(2.0) * i - 1) * F.ln(cdf) + (F.lit(2.0) * (F.lit(n + 1.0) - i) - 1) * F.ln(F.lit(1.0) - cdf)
+    term = ((F.lit(2.0) * i - 1) * DI.norm_logcdf_col(z)
+            + (F.lit(2.0) * (F.lit(n + 1.0) - i) - 1) * DI.norm_logcdf_col(-z))
     a2 = pos.agg((F.lit(-float(n)) - F.sum(term) / F.lit(float(n))).alias("a2"))
     crit = 0.787 / (1 + 4.0 / n - 25.0 / (n * n))
     return a2.select(F.lit(n).cast("long").alias("n"), "a2", F.lit(crit).alias("critical_5pct"),

@@ -106,16 +106,18 @@ def value_counts(df: DataFrame, column: str, denominator: str = "non_null") -> D
 
 
 def iqr_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFrame:
-    """Per column q1, q3, iqr, fences, outlier count and share.
-    Pass 1: exact quartiles for all columns in one sort; pass 2: one ``agg``."""
+    """Per column q1, q3, iqr, fences, outlier count and its share of the
+    column's values (nulls and NaN are none). Exact quartiles of all columns
+    together, then one ``agg``."""
     long = unpivot(df.select(*cols), cols)
     q = exact_quantiles(long, "value", [0.25, 0.75], ["column"]).collect()  # one row per column
     fences = {r["column"]: (r["q_0"], r["q_1"]) for r in q}
-    aggs = [F.count(F.lit(1)).alias("__n")]
+    aggs = []
     for c in cols:
         q1, q3 = fences[c]
         lo, hi = q1 - k * (q3 - q1), q3 + k * (q3 - q1)
-        aggs.append(F.count_if((F.col(c) < F.lit(lo)) | (F.col(c) > F.lit(hi))).alias(c))
+        x = F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+        aggs.append(F.struct(F.count_if((x < F.lit(lo)) | (x > F.lit(hi))).alias("out"), F.count(x).alias("n")).alias(c))
     one = df.agg(*aggs)
     rows = []
     for c in cols:
@@ -123,9 +125,9 @@ def iqr_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFram
         iqr = q3 - q1
         rows.append(F.struct(F.lit(c).alias("column"), F.lit(q1).alias("q1"), F.lit(q3).alias("q3"),
                              F.lit(iqr).alias("iqr"), F.lit(q1 - k * iqr).alias("lower"),
-                             F.lit(q3 + k * iqr).alias("upper"), F.col(c).cast("bigint").alias("n_outliers")))
-    out = one.select("__n", F.explode(F.array(*rows)).alias("s")).select("__n", "s.*")
-    return out.withColumn("share", F.col("n_outliers") / F.col("__n")).drop("__n")
+                             F.lit(q3 + k * iqr).alias("upper"), F.col(c)["out"].cast("bigint").alias("n_outliers"),
+                             F.try_divide(F.col(c)["out"], F.col(c)["n"]).alias("share")))
+    return one.select(F.explode(F.array(*rows)).alias("s")).select("s.*")
 
 
 def shape_label(skew: Column, kurt: Column, skew_t: float = 0.5, strong_t: float = 1.0,

@@ -121,6 +121,18 @@ def v05(spark, sf_dir):
     return round_all(M.auc_scores(b, "y", "score"), 9)
 
 
+@plan("v05_curve_points", "V05", f"""
+WITH d AS (SELECT score, count_if(y = 1) AS pos, count_if(y <> 1) AS neg FROM {BIN_SQL} GROUP BY score),
+c AS (SELECT *, sum(pos) OVER (ORDER BY score DESC) AS tp, sum(neg) OVER (ORDER BY score DESC) AS fp FROM d),
+t AS (SELECT sum(pos)::DOUBLE AS "P", sum(neg)::DOUBLE AS "NN" FROM d)
+SELECT round(score, 9) AS score, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, round(tp / "P", 9) AS tpr, round(fp / "NN", 9) AS fpr,
+  round(tp / (tp + fp), 9) AS "precision" FROM c, t""")
+def v05_points(spark, sf_dir):
+    """ROC and precision-recall points at every distinct score."""
+    pts = M.roc_points(binary_scored(Tables(spark, sf_dir)), "y", "score")
+    return round_all(pts.select("score", "tp", "fp", "tpr", "fpr", "precision"), 9)
+
+
 def _model_metric_long(m):
     out = None
     for mod in MODELS:

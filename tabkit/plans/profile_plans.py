@@ -70,7 +70,7 @@ def _iqr_sql(table, cols, k=1.5):
         parts.append(f"""SELECT '{c}' AS "column", q1, q3, q3 - q1 AS iqr, q1 - {k} * (q3 - q1) AS lower,
   q3 + {k} * (q3 - q1) AS upper,
   (SELECT count(*) FROM {table} WHERE {c} < q1 - {k} * (q3 - q1) OR {c} > q3 + {k} * (q3 - q1)) AS n_outliers,
-  (SELECT count(*) FROM {table}) AS n
+  (SELECT count({c}) FROM {table}) AS n
 FROM (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3 FROM {table})""")
     body = "\nUNION ALL\n".join(parts)
     return f"""SELECT "column", round(q1, 6) AS q1, round(q3, 6) AS q3, round(iqr, 6) AS iqr, round(lower, 6) AS lower,

@@ -200,3 +200,24 @@ def s12(spark, sf_dir):
     out = QU.latest_and_best(spark, path, "rmse")
     return out.select("model", "latest_version", rnd("latest_value", 6).alias("latest_value"), "best_run",
                       rnd("best_value", 6).alias("best_value"))
+
+
+@plan("s10g_fail_on_error", "S10g", """
+WITH c AS (SELECT count(*) = 0 AS any_rows, min(l_quantity) < 10 AS small, count(*) FILTER (l_discount IS NULL) > 0 AS nulls FROM lineitem)
+SELECT 'strict' AS suite, (small::INT + nulls::INT + any_rows::INT) > 0 AS raised, (small::INT + nulls::INT + any_rows::INT)::BIGINT AS n_failed FROM c
+UNION ALL SELECT 'lenient', (nulls::INT + any_rows::INT) > 0, (nulls::INT + any_rows::INT)::BIGINT FROM c""")
+def s10g(spark, sf_dir):
+    """Whether a run under ``fail_on_error`` raises, and how many checks failed."""
+    from ..operators.quality import QualityError, run_suite
+    li = Tables(spark, sf_dir).lineitem
+    common = [{"type": "row_count_between", "min": 1, "max": 1 << 60}, {"type": "not_null", "column": "l_discount"}]
+    suites = {"strict": [*common, {"type": "values_between", "column": "l_quantity", "min": 10}], "lenient": common}
+    rows = []
+    for name, suite in suites.items():
+        try:
+            run_suite(li, suite, fail_on_error=True)
+            raised = False
+        except QualityError:
+            raised = True
+        rows.append((name, raised, run_suite(li, suite).where("NOT success").count()))
+    return spark.createDataFrame(rows, "suite string, raised boolean, n_failed long")

@@ -48,8 +48,9 @@ def h01(spark, sf_dir):
 WITH b AS (SELECT o_totalprice AS x, o_orderkey FROM orders),
 s AS (SELECT count(*)::DOUBLE AS n, avg(x) AS m, stddev_samp(x) AS sd FROM b),
 p AS (SELECT x, row_number() OVER (ORDER BY x, o_orderkey) AS i FROM b),
-z AS (SELECT i, n, {DI.norm_cdf_sql('((x - m) / sd)')} AS cdf FROM p, s),
-t AS (SELECT any_value(n) AS n, sum((2.0 * i - 1) * ln(cdf) + (2.0 * (n + 1 - i) - 1) * ln(1 - cdf)) AS s FROM z)
+z AS (SELECT i, n, (x - m) / sd AS z FROM p, s),
+t AS (SELECT any_value(n) AS n, sum((2.0 * i - 1) * ({DI.norm_logcdf_sql('z')})
+        + (2.0 * (n + 1 - i) - 1) * ({DI.norm_logcdf_sql('-z')})) AS s FROM z)
 SELECT CAST(n AS BIGINT) AS n, round(-n - s / n, 6) AS a2, round(0.787 / (1 + 4.0 / n - 25.0 / (n * n)), 9) AS critical_5pct,
   (-n - s / n) > 0.787 / (1 + 4.0 / n - 25.0 / (n * n)) AS reject_5pct FROM t""")
 def h02(spark, sf_dir):

@@ -52,3 +52,17 @@ def test_correlation_tests(spark):
         assert got["c", method]["p_value"] is None
     line = spark.createDataFrame([(float(i), 2.0 * i) for i in range(9)], "x double, y double")
     assert [r["p_value"] for r in H.correlation_tests(line, "y", ["x"], ["spearman"]).collect()] == [0.0]
+
+
+def test_anderson_darling_keeps_far_rows(spark):
+    """One value 44 deviations away: both tails of its neighbours stay finite."""
+    x = np.concatenate([np.random.default_rng(1).normal(size=2000), [1e6]])
+    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(x)], "i long, x double")
+    r = H.anderson_darling(df, "x", ["i"]).first()
+    z = (np.sort(x) - x.mean()) / x.std(ddof=1)
+
+    def logcdf(v):
+        return math.log(0.5 * math.erfc(-v / math.sqrt(2))) if v > -30 else -v * v / 2 - math.log(-v) - 0.5 * math.log(2 * math.pi)
+    n = len(z)
+    a2 = -n - sum((2 * i - 1) * (logcdf(z[i - 1]) + logcdf(-z[n - i])) for i in range(1, n + 1)) / n
+    assert r["a2"] == pytest.approx(a2, rel=1e-6) and r["reject_5pct"]
