@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import functools
+import types
 import uuid
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,6 +81,29 @@ def text_bytes(docs: DataFrame, text_col: str = "text") -> int:
     return int(docs.select(F.sum(F.octet_length(F.col(f"`{text_col}`")))).first()[0] or 0)
 
 
+def releasing(fn):
+    """For functions of Python workers: hands freed memory back to the system when
+    a call, or what it yields, ends. Workers are kept between tasks and would hold
+    their largest task's memory beside the JVM's joins."""
+    def release():
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # glibc only
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    @functools.wraps(fn)
+    def run(data):
+        out = fn(data)
+        if not isinstance(out, types.GeneratorType):
+            release()
+            return out
+
+        def rows():
+            yield from out
+            release()
+        return rows()
+    return run
+
+
 #: Classes of a broadcast pre-filter: at most this many longs travel.
 CLASSES = 1 << 20
 

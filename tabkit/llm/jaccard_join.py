@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOC, keeps_locator_name, land, located, pick, text_bytes
+from .common import LOC, keeps_locator_name, land, located, pick, releasing, text_bytes
 from .ring import (U64, bucket_slices, buckets_for, cut_runs, mix, pack_hashes, pack_owners,
                    unpack_hashes, unpack_owners, word_hashes)
 
@@ -325,8 +325,8 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("binary").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     # as many tasks as the text asks for, a few buckets each
-    found = land(rows.mapInArrow(_count_shingles(buckets, size), WIRE).repartition(max(1, buckets // 2), "bucket").groupBy("bucket")
-                 .applyInArrow(_sum_bucket, OUT), "shingles")
+    found = land(rows.mapInArrow(releasing(_count_shingles(buckets, size)), WIRE).repartition(max(1, buckets // 2), "bucket").groupBy("bucket")
+                 .applyInArrow(releasing(_sum_bucket), OUT), "shingles")
     members = found.where("kind = 1").select("members").mapInArrow(_member_rows, f"id {kind}, node long, n long")
     sizes = members.where("n > 0").select("node", "n").distinct()
     counts = found.where("kind = 5").select("hash", "count")
@@ -336,7 +336,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
              .groupBy("node").agg(F.array_sort(F.collect_set(F.struct("count", "hash"))).alias("items")))
     sets = land(items.join(sizes, "node"), "sets")
     index = land(sets.select("node", "n", "items").mapInArrow(
-        _prefixes, "hash long, node long, n long, pos long, matches long, alone double"), "prefixes")
+        releasing(_prefixes), "hash long, node long, n long, pos long, matches long, alone double"), "prefixes")
     nodes = index.select("node").distinct()
     labels = land(nodes.withColumn("label", F.col("node")), "labels")
     links = None
