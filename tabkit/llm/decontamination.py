@@ -2,8 +2,10 @@
 
 Numbers, units and names of documents and benchmark items become typed
 placeholders, so a question with other parameters keeps its template. Every
-window of template words is hashed and joined with the benchmark's windows;
-matches are counted per document, item and alignment. Where enough windows
+window of template words that can match is hashed and joined with the benchmark's
+windows: each of those has an anchor, its literal word that the fewest of them
+hold, and only windows around a document's anchor words can match. Matches are
+counted per document, item and alignment. Where enough windows
 match, the slot values are compared: each value of the item must stand for one
 value in the document.
 
@@ -13,8 +15,9 @@ and adds up the matches of neighbouring alignments; it finds what the first set,
 in which first words are literal, does not. Items with too few windows for either
 are searched whole: by the hash of their first words, then by the text itself.
 
-All of it is DataFrame code. The benchmark's windows are broadcast only when
-their counted number is under a bound, else the join shuffles.
+All of it is DataFrame code. The benchmark's windows and anchors are broadcast only
+when the counted number of windows is under a bound, else every window is hashed
+and the join shuffles.
 """
 
 from __future__ import annotations
@@ -44,8 +47,9 @@ UNITS = ("km", "cm", "mm", "kg", "mg", "ml", "m", "g", "l", "t", "h", "s", "min"
 UNIT_PATTERN = "|".join(sorted(UNITS, key=lambda u: (-len(u), u)))
 DIGITS = r"[0-9]+(?:[.,:/][0-9]+)*"
 SPACE = r"[\x20\x09-\x0D]+"
-NAME_BEFORE = f"[\\p{{Ll}},;{NUMBER}-{CLOSE}]\\x20"
-DROP = f"[^\\p{{L}}\\p{{N}}{NUMBER}-{CLOSE}\\x20\\x09-\\x0D]+"
+#: A space after a word inside a sentence that is not itself the end of a match.
+NAME_SPACE = f"\\x20(?<=[a-z,;\\p{{Ll}}{NUMBER}-{CLOSE}]\\x20)(?<!\\G\\x20)"
+DROP = f"[^a-z\\x20\\p{{L}}\\p{{N}}{NUMBER}-{CLOSE}\\x09-\\x0D]+"
 
 
 PLACES = f"[{NUMBER}{UNIT}{NAME}]"
@@ -64,7 +68,7 @@ def marked(text: Column, values: bool = False) -> Column:
 def named(x: Column, values: bool = False) -> Column:
     """Marked text with the names inside sentences as placeholders."""
     for _ in range(2):  # the second pass takes names that follow a name
-        x = F.regexp_replace(x, f"({NAME_BEFORE})(\\p{{Lu}}\\p{{L}}+)", f"$1{NAME}$2{CLOSE}" if values else f"$1{NAME}")
+        x = F.regexp_replace(x, f"{NAME_SPACE}(\\p{{Lu}}\\p{{L}}+)", f" {NAME}$1{CLOSE}" if values else f" {NAME}")
     return F.regexp_replace(F.lower(x), DROP, "")
 
 
@@ -90,7 +94,8 @@ def plain(text: Column) -> Column:
     """Lower-case text with its values, without punctuation but with the
     operators of formulas."""
     x = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "([0-9])[.,](?=[0-9])", f"$1{POINT}")
-    x = F.regexp_replace(x, f"[^\\p{{L}}\\p{{N}}{POINT}{OPERATORS}\x20\x09-\x0D]+|[{OPERATORS}]+(?=\\p{{L}})|(?<=\\p{{L}})[{OPERATORS}]+", "")
+    x = F.regexp_replace(x, f"(?=[{OPERATORS}])(?:[{OPERATORS}]+(?=\\p{{L}})|(?<=\\p{{L}})[{OPERATORS}]+)", "")
+    x = F.regexp_replace(x, f"[^a-z\\x20\\p{{L}}\\p{{N}}{POINT}{OPERATORS}\\x09-\\x0D]+", "")
     return F.regexp_replace(x, f"([{OPERATORS}])", " $1 ")
 
 
@@ -99,15 +104,54 @@ def words_of(canonical: Column) -> Column:
     return F.split(F.btrim(canonical, F.lit(ASCII_SPACE)), SPACE)
 
 
-def hashes_of(words: Column) -> Column:
-    return F.transform(words, lambda w: F.xxhash64(w))
-
-
-def window_hashes(h: str, window: int, kind: int) -> Column:
-    """The hash of every window of the words hashed in ``h``."""
-    at = lambda i: F.xxhash64(*[F.get(F.col(h), i + k) for k in range(window)], *[F.lit(kind)] * (kind > 0))
-    return F.when(F.size(h) >= window, F.transform(F.sequence(F.lit(0), F.size(h) - window), at)).otherwise(
-        F.array().cast("array<bigint>"))
+def window_hash(words: Column, start: Column, n: Column | int, kind: Column | int) -> Column:
+    """The hash of the ``n`` words from ``start`` on."""
+    return F.xxhash64(F.slice(words, start + 1, n), F.lit(kind).cast("int"))
+
+
+def window_starts(words: Column, n: Column | int) -> Column:
+    return F.when(F.size(words) >= n, F.sequence(F.lit(0), F.size(words) - n)).otherwise(F.array().cast("array<int>"))
+
+
+def with_anchors(windows: DataFrame) -> DataFrame:
+    """``windows`` (with kind, words) plus word and k, their anchor: the literal
+    word that the fewest distinct windows hold, then the longest, then the first."""
+    places = (windows.select("kind", "words").distinct().select("kind", "words", F.posexplode("words").alias("k", "word"))
+              .where((F.col("kind") == 2) | ~F.col("word").rlike(PLACES)))
+    rare = places.groupBy("kind", "word").agg(F.count(F.lit(1)).alias("held"))
+    best = F.min(F.struct("held", (-F.length("word")).alias("neg"), "k", "word")).alias("best")
+    best = places.join(rare, ["kind", "word"]).groupBy("kind", "words").agg(best)
+    return windows.join(best, ["kind", "words"]).select(*windows.columns, "best.word", "best.k")
+
+
+def matching_windows(here: DataFrame, columns: dict[int, str], lengths: dict[int, list[int]], anchors: DataFrame | None) -> DataFrame:
+    """Windows of ``here`` (loc and one array of words for each kind): loc, kind,
+    start, hash; where anchors are given, those around anchors and their k. A
+    window that holds an anchor word twice can come with two k."""
+    if anchors is None:
+        def of(kind: int, c: str, n: int) -> Column:
+            return F.transform(window_starts(F.col(c), n), lambda i: F.struct(
+                F.lit(kind).alias("kind"), i.alias("start"), window_hash(F.col(c), i, n, kind).alias("hash")))
+
+        each = [of(kind, c, n) for kind, c in columns.items() for n in lengths[kind]]
+        return here.select("loc", F.explode_outer(F.concat(*each)).alias("w")).select("loc", "w.kind", "w.start", "w.hash")
+    ends, so_far = {}, F.lit(0)
+    for kind, c in columns.items():
+        so_far = so_far + F.size(c)
+        ends[kind] = so_far
+    here = here.select("loc", F.concat(*columns.values()).alias("words"), *[e.alias(f"end{k}") for k, e in ends.items()])
+    by_kind = lambda col: F.coalesce(*[F.when(F.col("pos") < F.col(f"end{k}"), col(k)) for k in columns])
+    before = dict(zip(columns, [F.lit(0), *[F.col(f"end{k}") for k in columns]], strict=False))
+    # outer: a filter on the array's size would be pushed to the scan and compute the words there again
+    here = here.select("*", F.posexplode_outer("words").alias("pos", "word")).select(
+        "loc", "words", "pos", by_kind(lambda k: before[k]).alias("base"), by_kind(lambda k: F.col(f"end{k}")).alias("end"),
+        F.xxhash64("word", by_kind(F.lit)).alias("anchor"))
+    anchors = anchors.select(F.xxhash64("word", "kind").alias("anchor"), "k", F.size("words").alias("length"), "kind").distinct()
+    start = F.col("pos") - F.col("k")
+    return (here.join(F.broadcast(anchors), "anchor")
+            .where((start >= F.col("base")) & (start + F.col("length") <= F.col("end")))
+            .select("loc", "kind", "k", (start - F.col("base")).alias("start"),
+                    window_hash(F.col("words"), start, F.col("length"), F.col("kind")).alias("hash")))
 
 
 def slot_value(word: Column) -> Column:
@@ -140,9 +184,9 @@ def _contaminated(src: DataFrame, items: DataFrame, window: int = WINDOW, id_col
 
     def item_windows(kind: int, canonical) -> DataFrame:
         words = bench.withColumn("__words", words_of(canonical(marked(F.col("text")))))
-        return (words.withColumn("__h", hashes_of(F.col("__words")))
-                .select("item_id", F.lit(kind).alias("kind"), F.posexplode_outer(window_hashes("__h", window, kind)).alias("at", "hash"), "__words")
-                .where(F.col("at").isNotNull()).where(literal(F.col("at"))).select("item_id", "kind", "at", "hash"))
+        return (words.select("item_id", F.explode(window_starts(F.col("__words"), window)).alias("at"), "__words")
+                .where(literal(F.col("at"))).select("item_id", F.lit(kind).alias("kind"), "at", F.slice(
+                    "__words", F.col("at") + 1, window).alias("words")))
 
     # kind 0: names inside sentences, kind 1: every capital a name
     usable = land(item_windows(0, named).unionByName(item_windows(1, all_named)).distinct(), "bench-windows")
@@ -150,26 +194,25 @@ def _contaminated(src: DataFrame, items: DataFrame, window: int = WINDOW, id_col
         F.count(F.lit(1)).alias("item_windows"), F.collect_set("at").alias("ats")), "bench-needs")
     # kind 2: items that a copy in running text may miss, as fewer windows than needed stay without the first word
     short = (bench.join(needs.where((F.col("kind") == 0) & (F.col("item_windows") > LEAST_WINDOWS)), "item_id", "left_anti")
-             .select("item_id", words_of(plain(F.col("text"))).alias("words")).where(F.get("words", F.lit(0)) != "")
-             .select("item_id", F.array_join("words", " ").alias("whole"), hashes_of(F.col("words")).alias("__h"),
-                     F.least(F.size("words"), F.lit(window)).alias("length")))
-    first = F.coalesce(*[F.when(F.col("length") == n, F.get(window_hashes("__h", n, 2), F.lit(0))) for n in range(1, window + 1)])
-    short = land(short.select("item_id", "whole", "length", first.alias("hash")), "bench-short")
-    lengths = sorted(r.length for r in short.select("length").distinct().collect())
-    usable = usable.unionByName(short.select("item_id", F.lit(2).alias("kind"), F.lit(0).alias("at"), "hash").distinct())
+             .select("item_id", words_of(plain(F.col("text"))).alias("words")).where(F.get("words", F.lit(0)) != ""))
+    short = land(short.select("item_id", F.array_join("words", " ").alias("whole"), F.slice("words", 1, window).alias("words")),
+                 "bench-short")
+    lengths = sorted(r.n for r in short.select(F.size("words").alias("n")).distinct().collect())
+    usable = usable.unionByName(short.select("item_id", F.lit(2).alias("kind"), F.lit(0).alias("at"), "words").distinct())
     few = usable.count() <= BROADCAST_WINDOWS
+    on = ["hash", "kind"]
+    if few:
+        usable, on = land(with_anchors(usable), "bench-anchors"), [*on, "k"]
+    anchors = usable if few else None
+    usable = usable.withColumn("hash", F.xxhash64("words", "kind")).select("item_id", "at", *on)
     here = src.select(F.col(f"`{text_col}`").alias("text"), F.col(LOC).alias("loc")).withColumn("__m", marked(F.col("text")))
-    here = (here.withColumn("__h0", hashes_of(words_of(named(F.col("__m")))))
-            .withColumn("__h1", hashes_of(words_of(all_named(F.col("__m"))))))
-    windows = [window_hashes("__h0", window, 0), window_hashes("__h1", window, 1)]
+    here = (here.withColumn("__w0", words_of(named(F.col("__m")))).withColumn("__w1", words_of(all_named(F.col("__m")))))
+    columns, sizes = {0: "__w0", 1: "__w1"}, {0: [window], 1: [window], 2: lengths}
     if lengths:
-        here = here.withColumn("__h2", hashes_of(words_of(plain(F.col("text")))))
-        windows += [window_hashes("__h2", n, 2) for n in lengths]
-    # outer: a filter on the array's size would be pushed to the scan and compute the windows there again
-    here = here.select("loc", F.greatest(F.size("__h0") - (window - 1), F.lit(0)).alias("n0"),
-                       F.posexplode_outer(F.concat(*windows)).alias("pos", "hash"))
-    shift = F.when(F.col("kind") == 2, 0).otherwise(F.col("pos") - F.col("at") - F.when(F.col("kind") == 1, F.col("n0")).otherwise(0))
-    hits = (here.join(F.broadcast(usable) if few else usable, "hash")
+        here, columns = here.withColumn("__w2", words_of(plain(F.col("text")))), columns | {2: "__w2"}
+    found = matching_windows(here, columns, sizes, anchors)
+    shift = F.when(F.col("kind") == 2, 0).otherwise(F.col("start") - F.col("at"))
+    hits = (found.join(F.broadcast(usable) if few else usable, on)
             .groupBy("loc", "item_id", "kind", shift.alias("shift")).agg(
                 F.count(F.lit(1)).alias("n_windows")))
     sizes = needs.drop("ats")
