@@ -14,21 +14,21 @@ import math
 import re
 import unicodedata
 import zlib
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick
+from .common import land, pick
 
 #: Bound of the training sample: labelled rows, the first by a hash of the id.
 MAX_TRAIN_ROWS = 20_000
-#: Bounds of the learned lexicon and of the learned exceptions.
-MAX_ENTRIES, MAX_EXCEPTIONS = 2_000, 2_000
 STEMS = (4, 5, 6, 7)
 #: An entry needs this log odds ratio and this evidence (in nats) for it.
 LEAST_WEIGHT, LEAST_EVIDENCE = 3.0, 14.0
@@ -104,7 +104,10 @@ def weighted_hits(text: str, automaton) -> tuple[float, int, int]:
             elif (kind == "s" or closed) and weight > best.get(start, (0.0, 0))[0]:
                 best[start] = (weight, end)
     if spared:
-        best = {s: w for s, w in best.items() if not any(a <= s and s < b + 1 for a, b in spared)}
+        # a hit is inside where the furthest end of the phrases that start before it is not behind it
+        spared.sort()
+        starts, ends = [a for a, _ in spared], list(accumulate((b for _, b in spared), max))
+        best = {s: w for s, w in best.items() if not (k := bisect_right(starts, s)) or ends[k - 1] < s}
     return sum(w for w, _ in best.values()), len(best), n_words
 
 
@@ -141,8 +144,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     chosen = (labels.where(ids.isNotNull() & F.col(f"`{label_col}`").isNotNull() & ~held_out(ids))
               .groupBy(ids.alias("id")).agg(F.max(F.col(f"`{label_col}`").cast("int")).alias("toxic"))
               .orderBy(F.xxhash64("id"), "id").limit(max_rows))
-    sample = (docs.select(ids.alias("id"), F.col(f"`{text_col}`").alias("text"))
-              .join(F.broadcast(chosen), "id").select("text", "toxic"))
+    # landed: it is read four times, the table once
+    sample = land(docs.select(ids.alias("id"), F.col(f"`{text_col}`").alias("text"))
+                  .join(F.broadcast(chosen), "id").select("text", "toxic"), "labelled")
     rows = (sample.mapInArrow(_counts, "kind string, entry string, toxic int, n long").groupBy("kind", "entry")
             .agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("pos"),
                  F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("neg")))
@@ -157,7 +161,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     evidence = n * (F.when(pos > 0, share * F.log(share / base)).otherwise(0.0)
                     + F.when(neg > 0, (1 - share) * F.log((1 - share) / (1 - base))).otherwise(0.0))
     strong = (rows.withColumn("weight", odds).where((F.col("weight") >= LEAST_WEIGHT) & (evidence >= LEAST_EVIDENCE))
-              .orderBy(F.desc("weight"), F.length("entry"), "kind", "entry").limit(MAX_ENTRIES).collect())
+              .orderBy(F.desc("weight"), F.length("entry"), "kind", "entry").collect())
     # heaviest first; an entry that starts with a taken stem, or is the start of a taken one, adds nothing
     stems: dict[str, float] = {}
     words: dict[str, float] = {}
@@ -170,7 +174,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if stems:
         found = (rows.where((F.col("kind") == "w") & (F.col("neg") >= 2) & (F.col("neg") * n_pos > F.col("pos") * n_neg))
                  .where(F.substring("entry", 1, STEMS[0]).isin(sorted({s[:STEMS[0]] for s in stems})))
-                 .orderBy(F.desc("neg"), "entry").limit(MAX_EXCEPTIONS).collect())
+                 .orderBy(F.desc("neg"), "entry").collect())
         spare = tuple(r["entry"] for r in found if any(r["entry"].startswith(s) for s in stems))
     lexicon = Lexicon(words, stems, tuple(dict.fromkeys([*(fold(e) for e in exceptions), *spare])))
     if not words and not stems:

@@ -2,6 +2,7 @@
 rows, empty tables, clashing column names, hot groups."""
 
 import random
+import time
 import uuid
 import zlib
 from collections import Counter
@@ -340,6 +341,39 @@ def test_toxicity_folds_and_spares(spark):
     assert len(got) == 4 and [r.hits for r in got if r.id is None] == [2]
 
 
+def plain_hits(text, lexicon):
+    """(weight, hits) by trying every entry and exception at every word's start."""
+    t, best, spared = toxicity.fold(text), {}, []
+    edge = lambda i: i == len(t) or not t[i].isalnum()
+    for s in range(len(t)):
+        if s and t[s - 1].isalnum():
+            continue
+        spared += [(s, s + len(e)) for e in lexicon.exceptions if t.startswith(e, s) and edge(s + len(e))]
+        found = [w for e, w in lexicon.words.items() if t.startswith(e, s) and edge(s + len(e))]
+        found += [w for e, w in lexicon.stems.items() if t.startswith(e, s)]
+        if found:
+            best[s] = max(found)
+    left = [w for s, w in best.items() if not any(a <= s < b for a, b in spared)]
+    return sum(left), len(left)
+
+
+def test_toxic_hits_against_every_entry_at_every_place():
+    rng = random.Random(5)
+    lexicon = toxicity.Lexicon(words={"ab": 2.0, "b": 1.0, "cab": 4.0}, stems={"ba": 3.0, "caba": 1.5},
+                               exceptions=("a b c", "b c a", "ab cab b", "c", "bac"))
+    a = lexicon.automaton()
+    for _ in range(300):
+        text = " ".join("".join(rng.choice("abc") for _ in range(rng.randint(1, 5))) for _ in range(rng.randint(0, 60)))
+        assert toxicity.weighted_hits(text, a)[:2] == plain_hits(text, lexicon)
+
+
+def test_toxic_hits_of_a_very_long_text():
+    lexicon = toxicity.Lexicon(words={"idiot": 5.0}, exceptions=("village idiot",))
+    start = time.process_time()
+    got = toxicity.weighted_hits("idiot village idiot " * 50_000, lexicon.automaton())
+    assert got[:2] == (250_000.0, 50_000) and time.process_time() - start < 10
+
+
 def test_toxicity_learns(spark, none):
     rng = random.Random(2)
     clean = lambda: " ".join(rng.choice(["alpha", "beta", "gamma", "delta", "omega"]) for _ in range(30))
@@ -389,6 +423,22 @@ def test_decontamination_takes_names_at_sentence_starts(spark):
     assert got == {1: False, 2: False, 3: False, 4: True}
 
 
+def test_decontamination_by_anchors_and_by_all_windows(spark, sf_dir, monkeypatch):
+    """Windows around anchors give what all windows give, also where a window holds
+    its anchor twice or another window's anchor."""
+    words = "lorem ipsum dolor lorem sit amet ipsum dolor sit lorem consetetur dolor ipsum sit sit amet amet".split()
+    odd = [" ".join(words[k:] + words[:k]) for k in range(0, 16, 3)]
+    bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text").unionByName(
+        spark.createDataFrame([(900 + k, t) for k, t in enumerate(odd)], "item_id long, text string"))
+    more = [(10_000 + k, f"{t} {t} and {odd[k - 1]}") for k, t in enumerate(odd)] + [(20_000, None), (20_001, "")]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").unionByName(
+        spark.createDataFrame(more, "doc_id long, text string"))
+    rows = lambda: Counter(tuple(r) for r in decontamination.contaminated(docs, bench).drop("loc").collect())
+    near = rows()
+    monkeypatch.setattr(decontamination, "BROADCAST_WINDOWS", 0)
+    assert near == rows() and {r[0] for r in near} >= {10_000 + k for k in range(len(odd))}
+
+
 def test_decontamination_finds_copies_of_short_items(spark):
     items = {1: "What is the capital city of the country France today?", 2: "Who wrote Hamlet?", 3: "12.5 + 7 = ?",
              4: "Anna, Ben, Carl, Dora, Emil, Fritz, Gerd, Hans, Ida, Jan", 5: "zygote", 6: "...", 7: None,
