@@ -2,14 +2,16 @@
 
 Documents are range-partitioned by id; each partition writes its ids, in id
 order, as one Arrow IPC file: record batches of fixed-size-list columns
-``seq`` (ids) and ``mask`` (true on real ids), so that any sequence is a
-zero-copy slice of the memory-mapped file. A second file lists the documents
+``seq`` (ids) and ``mask`` (true on real ids). Every batch but a file's last has
+the same number of sequences, so the place of any sequence or document follows
+from its number, and both are zero-copy slices of the memory-mapped file. A second file lists the documents
 (id, start, n). Files are named anew by each attempt; only those named in the
 manifest count, so a repeated task leaves no duplicates.
 """
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 from collections.abc import Iterator
 
@@ -57,8 +59,8 @@ class SequenceWriter:
         self.held.append(ids)
         self.size += len(ids)
         self.total += len(ids)
-        if self.size >= BATCH * self.length:
-            self._flush(self.size // self.length * self.length)
+        while self.size >= BATCH * self.length:
+            self._flush(BATCH * self.length)
 
     def _flush(self, n: int) -> None:
         flat = np.concatenate(self.held)
@@ -87,29 +89,29 @@ def _write(folder: str, path: str, end: int, length: int):
         name = f"part-{part:06d}-{uuid.uuid4().hex}"
         where[0].create_dir(where[1], recursive=True)
         writer = None
-        for b in batches:
-            if not b.num_rows:
-                continue
-            if writer is None:
-                sink = where[0].open_output_stream(f"{where[1]}/{name}.arrow")
-                side = where[0].open_output_stream(f"{where[1]}/{name}.docs.arrow")
-                writer = SequenceWriter(sink, enc.dtype, length)
-                kinds = pa.schema([("id", b.schema.field("id").type), ("start", pa.int64()), ("n", pa.int64())])
-                docs, n_docs = ipc.new_file(side, kinds), 0
-            starts, sizes = [], []
-            for x in enc.encode([t or "" for t in b.column("text").to_pylist()]):
-                ids = np.append(np.frombuffer(x, enc.dtype), np.array([end], enc.dtype))
-                starts.append(writer.total)
-                sizes.append(len(ids))
-                writer.add(ids)
-            n_docs += len(sizes)
-            docs.write_batch(pa.RecordBatch.from_arrays(
-                [b.column("id"), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64())], schema=kinds))
+        with contextlib.ExitStack() as open_files:
+            for b in batches:
+                if not b.num_rows:
+                    continue
+                if writer is None:
+                    sink, side = [open_files.enter_context(where[0].open_output_stream(f"{where[1]}/{name}{kind}"))
+                                  for kind in (".arrow", ".docs.arrow")]
+                    writer = SequenceWriter(sink, enc.dtype, length)
+                    kinds = pa.schema([("id", b.schema.field("id").type), ("start", pa.int64()), ("n", pa.int64())])
+                    docs, n_docs = ipc.new_file(side, kinds), 0
+                starts, sizes = [], []
+                for x in enc.encode([t or "" for t in b.column("text").to_pylist()]):
+                    ids = np.append(np.frombuffer(x, enc.dtype), np.array([end], enc.dtype))
+                    starts.append(writer.total)
+                    sizes.append(len(ids))
+                    writer.add(ids)
+                n_docs += len(sizes)
+                docs.write_batch(pa.RecordBatch.from_arrays(
+                    [b.column("id"), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64())], schema=kinds))
+            if writer is not None:
+                writer.close()
+                docs.close()
         if writer is not None:
-            writer.close()
-            docs.close()
-            sink.close()
-            side.close()
             yield pa.RecordBatch.from_pydict({
                 "part": pa.array([part], pa.int64()), "tokens_file": [f"{folder}/{name}.arrow"],
                 "docs_file": [f"{folder}/{name}.docs.arrow"], "n_tokens": pa.array([writer.total], pa.int64()),
@@ -136,58 +138,71 @@ def write_files(docs: DataFrame, folder: str | None = None, path: str | None = N
     return manifest.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
 
 
+class SequenceFile:
+    """Random access to a file of sequences; the batch asked for last stays open."""
+
+    def __init__(self, tokens_file: str):
+        where, path = open_fs(tokens_file)
+        self.source = pa.memory_map(path) if isinstance(where, fs.LocalFileSystem) else where.open_input_file(path)
+        self.file = ipc.open_file(self.source)
+        self.length = self.file.schema.field("seq").type.list_size
+        self.batch_rows = self.file.get_batch(0).num_rows if self.file.num_record_batches else 1
+        self.held: tuple[int, pa.RecordBatch | None] = (-1, None)
+
+    def __enter__(self) -> SequenceFile:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.source.close()
+
+    def _column(self, name: str, k: int) -> np.ndarray:
+        if self.held[0] != k:
+            self.held = (k, self.file.get_batch(k))
+        return self.held[1].column(name).flatten().to_numpy(zero_copy_only=name == "seq")
+
+    def flat(self, name: str, start: int, n: int) -> np.ndarray:
+        """Entries ``start`` to ``start + n`` of a column, or those that exist: a
+        slice where they lie in one batch, a copy where not."""
+        out, size = [np.zeros(0, bool if name == "mask" else np.uint32)], self.batch_rows * self.length
+        while n > 0 and start // size < self.file.num_record_batches:
+            k, lo = divmod(start, size)
+            got = self._column(name, k)[lo:lo + n]
+            if not len(got):
+                break
+            out.append(got)
+            start, n = start + len(got), n - len(got)
+        return out[-1] if len(out) <= 2 else np.concatenate(out[1:])
+
+    def ids(self, start: int, n: int) -> np.ndarray:
+        return self.flat("seq", start, n)
+
+    def sequences(self, first: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Sequences ``first`` to ``first + n``, or those that exist, and their masks."""
+        return tuple(self.flat(c, first * self.length, n * self.length).reshape(-1, self.length) for c in ("seq", "mask"))
+
+
 def read_sequences(tokens_file: str, first: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sequences ``first`` to ``first + n`` of a file and their masks; a slice
-    of the memory map where the file system has one."""
-    where = open_fs(tokens_file)
-    file = ipc.open_file(where[0].open_input_file(where[1]) if not isinstance(where[0], fs.LocalFileSystem)
-                         else pa.memory_map(where[1]))
-    seqs, masks = [], []
-    length = file.schema.field("seq").type.list_size
-    at = 0
-    for k in range(file.num_record_batches):
-        if at >= first + n:
-            break
-        b = file.get_batch(k)
-        if at + b.num_rows > first:
-            lo, hi = max(0, first - at), min(b.num_rows, first + n - at)
-            seqs.append(b.column("seq").slice(lo, hi - lo).flatten().to_numpy(zero_copy_only=True).reshape(-1, length))
-            masks.append(b.column("mask").slice(lo, hi - lo).flatten().to_numpy(zero_copy_only=False).reshape(-1, length))
-        at += b.num_rows
-    return (seqs[0], masks[0]) if len(seqs) == 1 else (np.concatenate(seqs), np.concatenate(masks))
+    """Sequences ``first`` to ``first + n`` of a file and their masks; only their
+    batches are read. A slice of the memory map where the file system has one."""
+    return SequenceFile(tokens_file).sequences(first, n)
 
 
 def _read(id_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for m in (r for b in batches for r in b.to_pylist()):
-            where = open_fs(m["tokens_file"])
-            local = isinstance(where[0], fs.LocalFileSystem)
-            file = ipc.open_file(pa.memory_map(where[1]) if local else where[0].open_input_file(where[1]))
-            at, held = 0, np.zeros(0, np.uint32)  # ids read and not yet handed out, and their start
-            batch = 0
             docs_at = open_fs(m["docs_file"])
-            docs = ipc.open_file(docs_at[0].open_input_file(docs_at[1]))
-            for k in range(docs.num_record_batches):
-                d = docs.get_batch(k)
-                for lo in range(0, d.num_rows, 500):
-                    part = d.slice(lo, 500)
-                    blobs = []
-                    for start, n in zip(part.column("start").to_pylist(), part.column("n").to_pylist(), strict=True):
-                        parts = [held[start - at:]]
-                        have = len(parts[0])
-                        while have < n:
-                            b = file.get_batch(batch)
-                            batch += 1
-                            flat = b.column("seq").flatten().to_numpy(zero_copy_only=True)
-                            real = b.column("mask").flatten().to_numpy(zero_copy_only=False)
-                            parts.append(flat if real[-1] else flat[real])
-                            have += len(parts[-1])
-                        held, at = np.concatenate(parts) if len(parts) > 1 else parts[0], start
-                        blobs.append(held[:n].astype("<u4").tobytes())
-                    yield pa.RecordBatch.from_arrays(
-                        [part.column("id").cast(id_type),
-                         pa.array(np.asarray(part.column("start")) + m["base"], pa.int64()), part.column("n"),
-                         pa.array(blobs, pa.binary())], names=["id", "start", "n_tokens", "ids"])
+            with SequenceFile(m["tokens_file"]) as file, docs_at[0].open_input_file(docs_at[1]) as side:
+                docs = ipc.open_file(side)
+                for k in range(docs.num_record_batches):
+                    d = docs.get_batch(k)
+                    for lo in range(0, d.num_rows, 500):
+                        part = d.slice(lo, 500)
+                        places = zip(part.column("start").to_pylist(), part.column("n").to_pylist(), strict=True)
+                        blobs = [file.ids(start, n).astype("<u4").tobytes() for start, n in places]
+                        yield pa.RecordBatch.from_arrays(
+                            [part.column("id").cast(id_type),
+                             pa.array(np.asarray(part.column("start")) + m["base"], pa.int64()), part.column("n"),
+                             pa.array(blobs, pa.binary())], names=["id", "start", "n_tokens", "ids"])
     return run
 
 

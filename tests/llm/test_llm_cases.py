@@ -341,6 +341,34 @@ def test_toxicity_folds_and_spares(spark):
     assert len(got) == 4 and [r.hits for r in got if r.id is None] == [2]
 
 
+def test_token_files_by_number(spark, tmp_path, monkeypatch):
+    """Batches are of one size, and any sequence or document is read by its number alone."""
+    monkeypatch.setattr(token_files, "BATCH", 4)
+    rng = np.random.default_rng(3)
+    docs, at = [], 0
+    path = str(tmp_path / "x.arrow")
+    with open(path, "wb") as sink:
+        w = token_files.SequenceWriter(sink, "<u2", 8)
+        for n in [0, 1, 7, 200, 3, 32, 64, 5, 90]:
+            docs.append((at, rng.integers(1, 60000, n).astype("<u2")))
+            w.add(docs[-1][1])
+            at += n
+        w.close()
+    flat = np.concatenate([ids for _, ids in docs])
+    with token_files.SequenceFile(path) as f:
+        rows = [f.file.get_batch(k).num_rows for k in range(f.file.num_record_batches)]
+        assert set(rows[:-1]) == {4} and sum(rows) == -(-at // 8)
+        assert all((f.ids(a, len(ids)) == ids).all() for a, ids in reversed(docs))
+        f.held, opened = (-1, None), []
+        read = f._column
+        f._column = lambda name, k: opened.append(k) or read(name, k)
+        seqs, masks = f.sequences(30, 3)
+        assert (seqs.ravel() == flat[240:264]).all() and masks.all() and set(opened) == {7, 8}
+        last, mask = f.sequences(sum(rows) - 1, 5)
+        assert len(last) == 1 and mask.sum() == at % 8 and not last[~mask].any()
+        assert f.sequences(sum(rows), 2)[0].shape == (0, 8)
+
+
 def plain_hits(text, lexicon):
     """(weight, hits) by trying every entry and exception at every word's start."""
     t, best, spared = toxicity.fold(text), {}, []
