@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as TX
 from ..functions.columns import scalars
-from .order import exact_quantiles
+from .order import exact_quantiles, land
 
 
 def token_counts(df: DataFrame, toks: Column, group_cols: Sequence[str] = (), name: str = "token") -> DataFrame:
@@ -50,16 +50,27 @@ def with_bigrams(df: DataFrame, tokens_col: str, out: str) -> DataFrame:
     return NGram(n=2, inputCol=tokens_col, outputCol=out).transform(df)
 
 
-def doc_terms(df: DataFrame, key: str, text: str, ngram_max: int = 2, min_len: int = 2) -> DataFrame:
-    """Term counts ``(key, term, tf)`` of unigrams (and bigrams) of whole texts."""
-    toks = TX.tokens(text, min_len=min_len)
-    base = df.select(key, toks.alias("_t"))
+#: Bytes of text a task takes when documents are dealt by key: its term counts stay in memory.
+TEXT_BYTES = 16 << 20
+
+
+def term_rows(df: DataFrame, key: str, text: str, ngram_max: int = 2, min_len: int = 2) -> DataFrame:
+    """``(key, term)``, a row per occurrence of a unigram (or bigram) of a whole text.
+    The texts are dealt by key beforehand: what is grouped by the key, or by key
+    and term, moves no terms."""
+    size = scalars(df.agg(F.sum(F.octet_length(F.col(text))).alias("b")))["b"] or 0
+    base = df.select(key, text).repartition(int(size) // TEXT_BYTES + 1, key)
+    base = base.select(key, TX.tokens(text, min_len=min_len).alias("_t"))
     arr = F.col("_t")
     if ngram_max >= 2:
         base = with_bigrams(base, "_t", "_b")
         arr = F.concat(F.col("_t"), F.col("_b"))
-    return (base.select(key, F.explode(arr).alias("term"))
-            .groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf")))
+    return base.select(key, F.explode(arr).alias("term"))
+
+
+def doc_terms(df: DataFrame, key: str, text: str, ngram_max: int = 2, min_len: int = 2) -> DataFrame:
+    """Term counts ``(key, term, tf)`` of unigrams (and bigrams) of whole texts."""
+    return term_rows(df, key, text, ngram_max, min_len).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def tfidf(df: DataFrame, key: str, text: str, min_df: int = 3, max_features: int | None = 5000,
@@ -68,17 +79,22 @@ def tfidf(df: DataFrame, key: str, text: str, min_df: int = 3, max_features: int
     ``idf = ln((1+n)/(1+df)) + 1`` (smooth), ``tf -> 1 + ln(tf)`` when sublinear,
     rows L2-normalised (rule M13). Vocabulary: ``df >= min_df``, then the
     ``max_features`` terms with the largest corpus count (ties: term)."""
-    terms = doc_terms(df, key, text, ngram_max)
+    occurrences = term_rows(df, key, text, ngram_max)
+    terms = occurrences.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
     n_docs = scalars(df.agg(F.count(F.lit(1)).alias("n")))["n"]
     stats = terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf")) \
         .where(F.col("df") >= min_df)
     if max_features:
-        # at most ``max_features`` rows: a proven bound for the broadcast below
-        stats = stats.orderBy(F.col("cf").desc(), F.col("term")).limit(max_features)
-        stats = F.broadcast(stats)
+        # at most ``max_features`` rows: a proven bound for the broadcast, which
+        # drops the other terms before they are counted per document
+        stats = land(stats.orderBy(F.col("cf").desc(), F.col("term")).limit(max_features), "vocabulary")
+        found = (occurrences.join(F.broadcast(stats.select("term", "df")), "term")
+                 .groupBy(key, "term", "df").agg(F.count(F.lit(1)).alias("tf")))
+    else:
+        found = terms.join(stats.select("term", "df"), "term")
     idf = F.ln((F.lit(1.0) + F.lit(float(n_docs))) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
     tfw = (F.lit(1.0) + F.ln(F.col("tf").cast("double"))) if sublinear else F.col("tf").cast("double")
-    w = terms.join(stats.select("term", "df"), "term").withColumn("w", tfw * idf)
+    w = found.withColumn("w", tfw * idf)
     # L2 norm per document: a document has at most ``max_features`` kept terms,
     # so a window per document is bounded (and saves the aggregate + join)
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))
