@@ -27,3 +27,13 @@ def test_tfidf_moves_no_terms(spark):
     assert {t for k, t in rows if k == 3} == {"ab", "cd", "ab cd"} and 4 not in {k for k, _ in rows}
     for k in (1, 2, 3, 5):
         assert abs(sum(w * w for (d, _), w in rows.items() if d == k) - 1) < 1e-12
+
+
+def test_svd_reads_its_weights_once(spark):
+    from tabkit.operators.features import tfidf_svd
+    cells = [(d, f"t{j}", float(1 + (d * j) % 5)) for d in range(12) for j in range(8) if (d + j) % 3]
+    long, seen = counted(spark, spark.createDataFrame(cells, "doc_id long, term string, weight double"), "weight")
+    out = tfidf_svd(long, "doc_id", k=2).collect()
+    assert seen.value == len(cells)
+    assert {r["doc_id"] for r in out} == set(range(12))
+    assert all(abs(sum(x * x for x in r["svd"]) - 1) < 1e-9 for r in out)
