@@ -349,13 +349,52 @@ class CostEvaluator(Evaluator):
 
 def cross_validate(estimator, maps: list, df: DataFrame, evaluator, fold_col: str | None = None,
                    folds: int = 3, parallelism: int = 2, seed: int = 13):
-    """``CrossValidator`` with a fold column (B06) when given."""
+    """Cross-validation as a ``CrossValidatorModel``. With a fold column
+    (B06) the rows are landed once, and the leading stages of a pipeline that no
+    map touches are fitted once a fold, on its training rows only."""
     from pyspark.ml.tuning import CrossValidator
-    cv = CrossValidator(estimator=estimator, estimatorParamMaps=maps, evaluator=evaluator,
-                        numFolds=folds, parallelism=parallelism, seed=seed)
-    if fold_col:
-        cv = cv.setFoldCol(fold_col)
-    return cv.fit(df)
+    if not fold_col:
+        return CrossValidator(estimator=estimator, estimatorParamMaps=maps, evaluator=evaluator,
+                              numFolds=folds, parallelism=parallelism, seed=seed).fit(df)
+    return _fold_validate(estimator, maps, df, evaluator, fold_col, folds, parallelism)
+
+
+def _fold_validate(estimator, maps: list, df: DataFrame, evaluator, fold_col: str, folds: int, parallelism: int):
+    from multiprocessing.pool import ThreadPool
+
+    from pyspark import inheritable_thread_target
+    from pyspark.ml import Pipeline
+    from pyspark.ml.tuning import CrossValidatorModel
+
+    from .order import land
+    rows, fold = land(df, "folds"), F.col(fold_col)
+    sizes = {r[0]: r[1] for r in rows.groupBy(F.when(fold.between(0, folds - 1), fold)).count().take(folds + 1)}
+    if None in sizes:
+        raise ValueError(f"fold column {fold_col}: values must be from 0 to {folds - 1}")
+    for k in range(folds):
+        if not sizes.get(k) or sizes[k] == sum(sizes.values()):
+            raise ValueError(f"fold {k}: no rows to train on or none to validate with")
+    stages = estimator.getStages() if isinstance(estimator, Pipeline) else [estimator]
+    varied = {param.parent for m in maps for param in m}
+    cut = next((i for i, stage in enumerate(stages) if stage.uid in varied), len(stages) - 1)
+    if not varied <= {stage.uid for stage in stages}:  # a map reaches into a stage
+        cut = 0
+    lead, tail = Pipeline(stages=stages[:cut]), Pipeline(stages=stages[cut:]) if cut else estimator
+    scores = [[0.0] * folds for _ in maps]
+    with ThreadPool(max(1, min(parallelism, len(maps)))) as pool:
+        for k in range(folds):
+            train, held = rows.where(fold != k), rows.where(fold == k)
+            fixed = lead.fit(train)
+            train, held = fixed.transform(train), fixed.transform(held)
+
+            def score(i, k=k, train=train, held=held):
+                scores[i][k] = evaluator.evaluate(tail.fit(train, maps[i]).transform(held, maps[i]))
+            pool.map(inheritable_thread_target(df.sparkSession)(score), range(len(maps)))
+    means = [sum(s) / folds for s in scores]
+    stds = [math.sqrt(sum((x - m) ** 2 for x in s) / folds) for s, m in zip(scores, means)]
+    pick = max if evaluator.isLargerBetter() else min
+    best = means.index(pick(means))
+    return CrossValidatorModel(estimator.fit(rows, maps[best]), means, [], stds)
 
 
 def cv_results_table(spark: SparkSession, cv_model, maps: list[dict], name: str) -> DataFrame:

@@ -167,7 +167,7 @@ def vf10(spark, sf_dir):
     t = Tables(spark, sf_dir)
     d = _li_features(t)
     key = F.concat_ws("|", *LI_KEYS)
-    d = d.withColumn("fold", F.pmod(S.key_hash(key), F.lit(3)).cast("int"))
+    d = d.select(*FEATS, "label", F.pmod(S.key_hash(key), F.lit(3)).cast("int").alias("fold"))
     lr = MD.make_estimator("ridge", featuresCol="features", labelCol="label")
     pipe = Pipeline(stages=[VectorAssembler(inputCols=FEATS, outputCol="raw"),
                             StandardScaler(inputCol="raw", outputCol="features", withMean=True), lr])

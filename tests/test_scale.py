@@ -37,3 +37,25 @@ def test_svd_reads_its_weights_once(spark):
     assert seen.value == len(cells)
     assert {r["doc_id"] for r in out} == set(range(12))
     assert all(abs(sum(x * x for x in r["svd"]) - 1) < 1e-9 for r in out)
+
+
+def test_folds_read_their_rows_once(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.ml.feature import StandardScaler, VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+    from pyspark.ml.tuning import CrossValidator
+
+    from tabkit.operators.models import cross_validate
+    plain = spark.createDataFrame([(float(i), 3.0 * i + i % 4, i % 3) for i in range(60)], "x double, label double, fold int")
+    df, seen = counted(spark, plain, "x")
+    lr = LinearRegression()
+    pipe = Pipeline(stages=[VectorAssembler(inputCols=["x"], outputCol="raw"),
+                            StandardScaler(inputCol="raw", outputCol="features", withMean=True), lr])
+    maps = [{lr.regParam: v} for v in (0.0, 5.0)]
+    got = cross_validate(pipe, maps, df, RegressionEvaluator(), fold_col="fold")
+    assert seen.value == 60
+    want = CrossValidator(estimator=pipe, estimatorParamMaps=maps, evaluator=RegressionEvaluator(), foldCol="fold").fit(plain)
+    for a, b in zip(got.avgMetrics + got.stdMetrics, want.avgMetrics + want.stdMetrics, strict=True):
+        assert abs(a - b) < 1e-9
+    assert abs(got.bestModel.stages[-1].coefficients[0] - want.bestModel.stages[-1].coefficients[0]) < 1e-9
