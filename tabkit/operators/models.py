@@ -417,20 +417,28 @@ def permutation_importance(model, df: DataFrame, key: str, features: Sequence[st
     that holds that position. Positions are unique, so every join is balanced.
     ``key`` must be unique; ``model`` is a fitted PipelineModel that assembles
     the features itself."""
-    from .order import row_positions
+    from .order import land, row_positions
     spark = df.sparkSession
     larger = evaluator.isLargerBetter()
-    base = evaluator.evaluate(model.transform(df))
-    pos = row_positions(df.select(key, *features), [key])
+    Rows are landed with their positions, and once a repeat with the values of
+    their donor: the features of a repeat share one join.
+    own, given = list(df.columns), {f: f"_d_{f}" for f in features}
+    df = land(row_positions(df, [key]), "positions")
+    base = evaluator.evaluate(model.transform(df.select(*own)))
+    donor = df.select(F.col("pos").alias("ppos"), *[F.col(f).alias(d) for f, d in given.items()])
+    repeated = not df.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1").isEmpty()
     rows = []
     for r in range(repeats):
-        h = df.select(key, F.xxhash64(F.col(key), F.lit(seed + r)).alias("_h"))
-        perm = row_positions(h, ["_h", key], out="ppos").select(key, "ppos")
-        mapping = pos.select(key, "pos").join(perm, key)
+        h = df.select(*own, F.xxhash64(F.col(key), F.lit(seed + r)).alias("_h"))
+        perm = row_positions(h, ["_h", key], out="ppos")
+        dealt = perm.where(F.col(key).isNotNull()).join(donor, "ppos")
+        if repeated:  # every row of a key meets every donor of it, as often as the key occurs
+            times = df.select(key)
+            dealt = df.select(*own).join(dealt.select(key, *given.values()).join(times, key), key)
+        dealt = land(dealt.select(*own, *given.values()), "dealt")
         for f in features:
-            donor = pos.select(F.col("pos").alias("ppos"), F.col(f).alias("_v"))
-            shuffled = mapping.join(donor, "ppos").select(key, F.col("_v").alias(f))
-            score = evaluator.evaluate(model.transform(df.drop(f).join(shuffled, key)))
+            swapped = dealt.select(*[F.col(given[f]).alias(f) if c == f else F.col(c) for c in own])
+            score = evaluator.evaluate(model.transform(swapped))
             rows.append((f, r, float(base - score) if larger else float(score - base)))
     out = spark.createDataFrame(rows, "feature string, repeat int, importance double")
     return out.groupBy("feature").agg(F.avg("importance").alias("mean_importance"),

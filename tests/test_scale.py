@@ -59,3 +59,34 @@ def test_folds_read_their_rows_once(spark):
     for a, b in zip(got.avgMetrics + got.stdMetrics, want.avgMetrics + want.stdMetrics, strict=True):
         assert abs(a - b) < 1e-9
     assert abs(got.bestModel.stages[-1].coefficients[0] - want.bestModel.stages[-1].coefficients[0]) < 1e-9
+
+
+def test_importance_moves_rows_once_a_repeat(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+
+    from tabkit.operators.models import permutation_importance
+    feats = ["a", "b", "c"]
+    plain = spark.createDataFrame([(i, float(i % 7), float(i % 5), float(i % 3), 9.0 * (i % 7) + i % 5) for i in range(80)],
+                                  "key long, a double, b double, c double, label double")
+    model = Pipeline(stages=[VectorAssembler(inputCols=feats, outputCol="features"), LinearRegression()]).fit(plain)
+    df, seen = counted(spark, plain, "b")
+    out = {r["feature"]: r for r in permutation_importance(model, df, "key", feats, RegressionEvaluator(), repeats=2).collect()}
+    assert seen.value <= 2 * 80  # the range bounds and the layout
+    assert out["a"]["mean_importance"] > out["b"]["mean_importance"] > abs(out["c"]["mean_importance"])
+
+
+def test_importance_of_repeated_and_null_keys(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+
+    from tabkit.operators.models import permutation_importance
+    rows = [(None if i % 9 == 4 else i // 2, float(i), 2.0 * i) for i in range(40)]
+    df = spark.createDataFrame(rows, "key long, a double, label double")
+    model = Pipeline(stages=[VectorAssembler(inputCols=["a"], outputCol="features"), LinearRegression()]).fit(df)
+    out = permutation_importance(model, df, "key", ["a"], RegressionEvaluator(), repeats=2).collect()
+    assert len(out) == 1 and out[0]["mean_importance"] > 1
