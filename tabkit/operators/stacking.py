@@ -81,11 +81,17 @@ class Stacked:
         return out.select(*[F.col(f"`{c}`") for c in df.columns], *extra)
 
 
+def dealt_rows(train: DataFrame, key: Sequence[str], label: str, bases: Sequence[Base], folds: int) -> DataFrame:
+    """key, label, the bases' inputs and the row's ``fold``, landed: every fit reads them again."""
+    names = dict.fromkeys([*key, label, *[c for b in bases for c in b.inputs]])
+    fold = F.pmod(key_hash(F.concat_ws("|", *key)), F.lit(folds)).cast("int")
+    return land(train.select(*[F.col(f"`{c}`") for c in names], fold.alias("fold")), "dealt")
+
+
 def out_of_fold(train: DataFrame, key: Sequence[str], label: str, bases: Sequence[Base], folds: int = 3) -> DataFrame:
     """key, label and each base's output for every row, from the models that were
     fitted without the row's fold. Rows whose folds leave a fit empty raise."""
-    fold = F.pmod(key_hash(F.concat_ws("|", *key)), F.lit(folds)).cast("int")
-    dealt = train.withColumn("fold", fold)
+    dealt = train if "fold" in train.columns else dealt_rows(train, key, label, bases, folds)
     parts = None
     for k in range(folds):
         held = dealt.where(F.col("fold") == k)
@@ -105,7 +111,7 @@ def fit_stacking(train: DataFrame, key: Sequence[str], label: str, bases: Sequen
     feature reaches it. Rows with a null label are left out."""
     if clash := {*(b.name for b in bases), "features", "fold", "meta", "meta_weight"} & set(train.columns):
         raise ValueError(f"columns with reserved names: {sorted(clash)}")
-    train = train.where(F.col(label).isNotNull())
+    train = dealt_rows(train.where(F.col(label).isNotNull()), key, label, bases, folds)
     held = out_of_fold(train, key, label, bases, folds)
     frame = held.withColumn("meta", joined_outputs([b.name for b in bases]))
     if classify:

@@ -90,3 +90,17 @@ def test_importance_of_repeated_and_null_keys(spark):
     model = Pipeline(stages=[VectorAssembler(inputCols=["a"], outputCol="features"), LinearRegression()]).fit(df)
     out = permutation_importance(model, df, "key", ["a"], RegressionEvaluator(), repeats=2).collect()
     assert len(out) == 1 and out[0]["mean_importance"] > 1
+
+
+def test_stacking_reads_its_rows_once(spark):
+    from pyspark.ml.regression import LinearRegression
+
+    from tabkit.operators import stacking as ST
+    plain = spark.createDataFrame([(i, float(i % 11), float(i % 5), 2.0 * (i % 11) + i % 5) for i in range(90)],
+                                  "key long, q double, z double, label double")
+    df, seen = counted(spark, plain, "q")
+    bases = [ST.Base("one", LinearRegression(solver="normal"), ["q"]), ST.Base("two", LinearRegression(solver="normal"), ["z"])]
+    model = ST.fit_stacking(df, ["key"], "label", bases, 3, 0.0)
+    assert seen.value == 90
+    err = model.transform(plain).select(F.max(F.abs(F.col("prediction") - F.col("label")))).first()[0]
+    assert err < 1.0
