@@ -190,15 +190,20 @@ def fold_summary(folds: DataFrame, metrics: Sequence[str]) -> DataFrame:
 def candidate_cv(f: DataFrame) -> DataFrame:
     """Z06 input: CV RMSE of two candidate predictors (global and per-part
     unit price, both fitted without the scored fold)."""
-    up = f.withColumn("up", F.col("l_extendedprice") / F.col("l_quantity"))
-    tot = scalars(up.agg(F.sum("up").alias("s"), F.count(F.lit(1)).alias("c")))
-    fs = up.groupBy("fold").agg(F.sum("up").alias("fs"), F.count(F.lit(1)).alias("fc"))
-    ps = up.groupBy("l_partkey").agg(F.sum("up").alias("ps"), F.count(F.lit(1)).alias("pc"))
-    pfs = up.groupBy("l_partkey", "fold").agg(F.sum("up").alias("pfs"), F.count(F.lit(1)).alias("pfc"))
-    j = up.join(F.broadcast(fs), "fold").join(ps, "l_partkey").join(pfs, ["l_partkey", "fold"])
+    from .order import land
+    up = land(f.select("l_partkey", "fold", "l_quantity", "l_extendedprice")
+              .withColumn("up", F.col("l_extendedprice") / F.col("l_quantity")), "unit_prices")
+    pfs = land(up.groupBy("l_partkey", "fold").agg(F.sum("up").alias("pfs"), F.count(F.lit(1)).alias("pfc")), "part_folds")
+    tot = scalars(pfs.agg(F.sum("pfs").alias("s"), F.coalesce(F.sum("pfc"), F.lit(0)).alias("c")))
+    fs = pfs.groupBy("fold").agg(F.sum("pfs").alias("fs"), F.sum("pfc").alias("fc"))
+    ps = pfs.groupBy("l_partkey").agg(F.sum("pfs").alias("ps"), F.sum("pfc").alias("pc"))
     base = (F.lit(tot["s"]) - F.col("fs")) / (F.lit(tot["c"]) - F.col("fc"))
     part = F.when(F.col("pc") - F.col("pfc") > 0, (F.col("ps") - F.col("pfs")) / (F.col("pc") - F.col("pfc"))).otherwise(base)
-    j = j.withColumn("p_base", F.col("l_quantity") * base).withColumn("p_part", F.col("l_quantity") * part)
+    # the prices of a part and fold meet the rows in one join
+    prices = pfs.join(ps, "l_partkey").join(F.broadcast(fs), "fold").select(
+        "l_partkey", "fold", base.alias("u_base"), part.alias("u_part"))
+    j = up.join(prices, ["l_partkey", "fold"])
+    j = j.withColumn("p_base", F.col("l_quantity") * F.col("u_base")).withColumn("p_part", F.col("l_quantity") * F.col("u_part"))
     per = j.groupBy("fold").agg(F.sqrt(F.avg(F.pow(F.col("l_extendedprice") - F.col("p_base"), 2))).alias("baseline"),
                                 F.sqrt(F.avg(F.pow(F.col("l_extendedprice") - F.col("p_part"), 2))).alias("per_part"))
     avg = per.agg(F.avg("baseline").alias("baseline"), F.avg("per_part").alias("per_part"))
@@ -415,13 +420,13 @@ def permutation_importance(model, df: DataFrame, key: str, features: Sequence[st
     (range-partitioned prefix sum over ``key``) is paired with its position in
     a hash order of (key, repeat); the row takes the feature value of the row
     that holds that position. Positions are unique, so every join is balanced.
+    Rows are landed with their positions, and once a repeat with the values of
+    their donor: the features of a repeat share one join.
     ``key`` must be unique; ``model`` is a fitted PipelineModel that assembles
     the features itself."""
     from .order import land, row_positions
     spark = df.sparkSession
     larger = evaluator.isLargerBetter()
-    Rows are landed with their positions, and once a repeat with the values of
-    their donor: the features of a repeat share one join.
     own, given = list(df.columns), {f: f"_d_{f}" for f in features}
     df = land(row_positions(df, [key]), "positions")
     base = evaluator.evaluate(model.transform(df.select(*own)))

@@ -104,3 +104,26 @@ def test_stacking_reads_its_rows_once(spark):
     assert seen.value == 90
     err = model.transform(plain).select(F.max(F.abs(F.col("prediction") - F.col("label")))).first()[0]
     assert err < 1.0
+
+
+def test_candidates_read_their_rows_once(spark):
+    from tabkit.operators.models import candidate_cv
+    rows = [(p, f, float(1 + (p + f) % 4), float(10 * p + f + 1)) for p in range(6) for f in range(5) for _ in range(2) if p or f == 0]
+    plain = spark.createDataFrame(rows + [(None, 1, 2.0, 7.0)], "l_partkey long, fold int, l_quantity double, l_extendedprice double")
+    df, seen = counted(spark, plain, "l_extendedprice")
+    got = {r["model"]: r["cv_rmse"] for r in candidate_cv(df).collect()}
+    assert seen.value == len(rows) + 1
+    every = rows + [(None, 1, 2.0, 7.0)]
+
+    def mean_price(keep):
+        kept = [y / q for p, f, q, y in every if keep(p, f)]
+        return sum(kept) / len(kept) if kept else None
+    errors = {"baseline": {}, "per_part": {}}
+    for p, f, q, y in rows:
+        base = mean_price(lambda _, g, f=f: g != f)
+        part = mean_price(lambda o, g, p=p, f=f: o == p and g != f)
+        errors["baseline"].setdefault(f, []).append((y - q * base) ** 2)
+        errors["per_part"].setdefault(f, []).append((y - q * (base if part is None else part)) ** 2)
+    for name, by in errors.items():
+        want = sum((sum(e) / len(e)) ** 0.5 for e in by.values()) / len(by)
+        assert abs(got[name] - want) < 1e-9
