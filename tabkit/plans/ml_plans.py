@@ -15,6 +15,7 @@ from ..operators import cluster as CL
 from ..operators import features as FE
 from ..operators import models as MD
 from ..operators import split as S
+from ..operators.order import land
 from ..streaming.monitor import scratch_dir
 from .registry import Tables, plan, rnd
 
@@ -333,7 +334,9 @@ def a03(spark, sf_dir):
 
 @plan("a05_a06_a07_regressors", "A05,A06,A07,A18")
 def a05(spark, sf_dir):
-    d = VectorAssembler(inputCols=FEATS, outputCol="features").transform(_li_features(Tables(spark, sf_dir)))
+    # landed: every pass of the fits reads the joined columns
+    d = land(_li_features(Tables(spark, sf_dir)).select(*FEATS, "label"), "features")
+    d = VectorAssembler(inputCols=FEATS, outputCol="features").transform(d)
     rows = []
     for name, params in [("decision_tree_regressor", {"maxDepth": 6}), ("random_forest_regressor", {"numTrees": 20, "seed": 13}),
                          ("gbt_regressor", {"maxIter": 20})]:

@@ -127,3 +127,27 @@ def test_candidates_read_their_rows_once(spark):
     for name, by in errors.items():
         want = sum((sum(e) / len(e)) ** 0.5 for e in by.values()) / len(by)
         assert abs(got[name] - want) < 1e-9
+
+
+def test_regressors_and_attribution_land_their_rows(spark, sf_dir, monkeypatch):
+    """The fits read landed columns: no join, no text and no shuffle is in their input."""
+    from tabkit.operators import models as MD
+    from tabkit.plans import ml_plans as P
+    seen, make, fit_text = [], MD.make_estimator, MD.fit_text_logistic
+
+    class Watched:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def fit(self, d):
+            seen.append(d._jdf.queryExecution().executedPlan().toString())
+            return self.inner.fit(d)
+
+    def watched_text(df, *args, **kwargs):
+        seen.append(df._jdf.queryExecution().executedPlan().toString())
+        return fit_text(df, *args, **kwargs)
+    monkeypatch.setattr(MD, "make_estimator", lambda *a, **k: Watched(make(*a, **k)))
+    monkeypatch.setattr(MD, "fit_text_logistic", watched_text)
+    assert P.a05(spark, sf_dir).count() == 3
+    assert P.a17(spark, sf_dir).count() == 20
+    assert len(seen) == 4 and not any("Join" in p or "Exchange" in p for p in seen)
