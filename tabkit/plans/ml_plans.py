@@ -513,11 +513,13 @@ def a16(spark, sf_dir):
 @plan("a17_a19_linear_attribution", "A17,A19,A03")
 def a17(spark, sf_dir):
     from ..operators.models import fit_text_logistic
-    from ..operators.textops import doc_terms
+    from ..operators.textops import term_rows
     t = Tables(spark, sf_dir)
-    lab = t.documents.join(t.labels, "doc_id")
+    lab = land(t.documents.join(t.labels, "doc_id").select("doc_id", "text", "quality"), "labelled")
     coef, intercept = fit_text_logistic(lab, "doc_id", "text", "quality", vocab_size=2000)
-    terms = doc_terms(lab, "doc_id", "text", ngram_max=1, min_len=1).join(coef, "term")
+    # a row per term of the model (at most 2,000): other words are dropped before they are counted
+    terms = land(term_rows(lab, "doc_id", "text", ngram_max=1, min_len=1).join(F.broadcast(coef), "term")
+                 .groupBy("doc_id", "term", "coef").agg(F.count(F.lit(1)).alias("tf")), "terms")
     # coef * (x - mean(x)): the non-zero entries come from the long table; the
     # documents without the term add n_zero * coef * (0 - mean) in closed form
     n_docs = lab.count()
