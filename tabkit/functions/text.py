@@ -25,21 +25,23 @@ def word_count(text: str | Column) -> Column:
 
 def fold_accents(text: str | Column) -> Column:
     """Lower case, accents folded to base letters, other non-ASCII dropped."""
-    t = F.translate(F.lower(col(text)), ACCENTED, PLAIN)
-    return F.regexp_replace(t, r"[^\x00-\x7F]", "")
+    low = F.lower(col(text))
+    folded = F.regexp_replace(F.translate(low, ACCENTED, PLAIN), r"[^\x00-\x7F]+", "")
+    # a text of as many bytes as characters is ASCII and stays as it is
+    return F.when(F.octet_length(low) == F.length(low), low).otherwise(folded)
 
 
 def tokens(text: str | Column, min_len: int = 3, fold: bool = True) -> Column:
     """``\\b[a-zA-Z]+\\b`` tokens of the folded text with a minimum length."""
     t = fold_accents(text) if fold else col(text)
-    toks = F.regexp_extract_all(F.coalesce(t, F.lit("")), F.lit(r"\b[a-zA-Z]+\b"), 0)
-    return F.filter(toks, lambda x: F.length(x) >= F.lit(min_len)) if min_len > 1 else toks
+    # no boundary lies between two letters: a shorter run is no match at all
+    return F.regexp_extract_all(F.coalesce(t, F.lit("")), F.lit(rf"\b[a-zA-Z]{{{max(1, min_len)},}}\b"), 0)
 
 
 def remove_stopwords(toks: Column, stopwords: Sequence[str]) -> Column:
     """Drop stop words, keep order and duplicates."""
-    stop = F.array(*[F.lit(w) for w in sorted(set(stopwords))])
-    return F.filter(toks, lambda x: ~F.array_contains(stop, x))
+    stop = sorted(set(stopwords))  # more than a few literals are looked up in a hash set
+    return F.filter(toks, lambda x: ~x.isin(stop))
 
 
 def bigrams(toks: Column, sep: str = " ") -> Column:

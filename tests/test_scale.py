@@ -151,3 +151,18 @@ def test_regressors_and_attribution_land_their_rows(spark, sf_dir, monkeypatch):
     assert P.a05(spark, sf_dir).count() == 3
     assert P.a17(spark, sf_dir).count() == 20
     assert len(seen) == 4 and not any("Join" in p or "Exchange" in p for p in seen)
+
+
+def test_tokens_of_ascii_and_accented_texts(spark):
+    from tabkit.functions import text as TX
+    texts = ["The CAT_s cat9 a ab, ab-cd x", "Ação É über\u0130 naïve \u4e2d\u6587ab cd", "", None, "abc"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    toks = TX.tokens("text", 2)
+    plan = df.select(toks)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan
+    got = {r["i"]: r["t"] for r in df.select("i", toks.alias("t")).collect()}
+    assert got[0] == ["the", "ab", "ab", "cd"] and got[2] == [] and got[3] == [] and got[4] == ["abc"]
+    assert got[1] == ["acao", "uberi", "naive", "ab", "cd"]
+    kept = df.where("i = 0").select(TX.remove_stopwords(toks, [f"w{i}" for i in range(20)] + ["ab"]).alias("k"))
+    assert "array_contains" not in kept._jdf.queryExecution().optimizedPlan().toString()
+    assert kept.first()["k"] == ["the", "cd"]
