@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import scalars
-from .order import exact_quantiles, quantile_values
+from .order import exact_quantiles, land, quantile_values
 
 
 class NotFittedError(RuntimeError):
@@ -45,7 +45,8 @@ class GroupMedianImputer(Estimator):
         long = unpivot(df.select(self.group, *self.cols), self.cols, keep=[self.group])
         per = exact_quantiles(long.where(F.col(self.group).isNotNull()), "value", [0.5], [self.group, "column"])
         glob = {r["column"]: r["q_0"] for r in exact_quantiles(long, "value", [0.5], ["column"]).collect()}
-        wide = per.groupBy(self.group).pivot("column", self.cols).agg(F.first("q_0"))
+        # landed, so that the join knows its size and sends few groups to the rows
+        wide = land(per.groupBy(self.group).pivot("column", self.cols).agg(F.first("q_0")), "medians")
         return GroupMedianImputerModel(self.group, self.cols, wide, glob)
 
 
@@ -315,7 +316,7 @@ def tfidf_svd(tfidf_long: DataFrame, key: str, k: int = 2) -> DataFrame:
     from pyspark.mllib.linalg import VectorUDT
     from pyspark.mllib.linalg.distributed import IndexedRowMatrix
     # dense term index 0..V-1 without a global window: rank via the prefix-sum helper
-    from .order import land, row_positions
+    from .order import row_positions
     weights = land(tfidf_long.select(key, "term", "weight"), "weights")
     vocab = row_positions(weights.select("term").distinct(), ["term"]).select("term", (F.col("pos") - 1).cast("int").alias("idx"))
     nterms = vocab.count()

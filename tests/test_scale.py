@@ -166,3 +166,13 @@ def test_tokens_of_ascii_and_accented_texts(spark):
     kept = df.where("i = 0").select(TX.remove_stopwords(toks, [f"w{i}" for i in range(20)] + ["ab"]).alias("k"))
     assert "array_contains" not in kept._jdf.queryExecution().optimizedPlan().toString()
     assert kept.first()["k"] == ["the", "cd"]
+
+
+def test_medians_meet_the_rows_without_a_shuffle(spark):
+    from tabkit.operators.features import GroupMedianImputer
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("a", None), ("b", None), (None, None), (None, 7.0)], "g string, x double")
+    out = GroupMedianImputer("g", ["x"]).fit(df).transform(df)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan, plan
+    assert sorted((r["g"] or "", r["x"]) for r in out.collect()) == [
+        ("", 3.0), ("", 7.0), ("a", 1.0), ("a", 2.0), ("a", 3.0), ("b", 3.0)]
