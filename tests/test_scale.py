@@ -32,7 +32,7 @@ def test_tfidf_moves_no_terms(spark):
 def test_svd_reads_its_weights_once(spark):
     from tabkit.operators.features import tfidf_svd
     cells = [(d, f"t{j}", float(1 + (d * j) % 5)) for d in range(12) for j in range(8) if (d + j) % 3]
-    long, seen = counted(spark, spark.createDataFrame(cells, "doc_id long, term string, weight double"), "weight")
+    long, seen = counted(spark, spark.createDataFrame(cells, "doc_id long, term string, weight double"), "term")
     out = tfidf_svd(long, "doc_id", k=2).collect()
     assert seen.value == len(cells)
     assert {r["doc_id"] for r in out} == set(range(12))
