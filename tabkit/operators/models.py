@@ -26,7 +26,7 @@ CATALOGUE = {
     "ridge": ("pyspark.ml.regression", "LinearRegression", {"elasticNetParam": 0.0, "regParam": 1.0}),
     "lasso": ("pyspark.ml.regression", "LinearRegression", {"elasticNetParam": 1.0, "regParam": 1.0}),
     "decision_tree_regressor": ("pyspark.ml.regression", "DecisionTreeRegressor"),
-    "random_forest_regressor": ("pyspark.ml.regression", "RandomForestRegressor"),
+    "random_forest_regressor": ("tabkit.operators.trees", "BaggedForestRegressor"),
     "gbt_regressor": ("pyspark.ml.regression", "GBTRegressor"),
     "logistic_regression": ("pyspark.ml.classification", "LogisticRegression"),
     "linear_svc": ("pyspark.ml.classification", "LinearSVC"),

@@ -15,6 +15,7 @@ from ..operators import cluster as CL
 from ..operators import features as FE
 from ..operators import models as MD
 from ..operators import split as S
+from ..operators import trees as TR
 from ..operators.order import land
 from ..streaming.monitor import scratch_dir
 from .registry import Tables, plan, rnd
@@ -334,14 +335,19 @@ def a03(spark, sf_dir):
 
 @plan("a05_a06_a07_regressors", "A05,A06,A07,A18")
 def a05(spark, sf_dir):
-    # landed: every pass of the fits reads the joined columns
+    from ..functions.columns import scalars
+    # landed: the counts of the values and the cells read the joined columns
     d = land(_li_features(Tables(spark, sf_dir)).select(*FEATS, "label"), "features")
-    d = VectorAssembler(inputCols=FEATS, outputCol="features").transform(d)
+    cells = TR.tree_cells(d, FEATS, "label", bags=20, seed=13)
+    v = VectorAssembler(inputCols=FEATS, outputCol="features").transform(cells)
+    whole = {"labelCol": "label", "weightCol": "rows", "maxBins": TR.candidates_param(cells)}
+    within = scalars(cells.agg((F.sum("within") / F.sum("rows")).alias("w")))["w"]
     rows = []
     for name, params in [("decision_tree_regressor", {"maxDepth": 6}), ("random_forest_regressor", {"numTrees": 20, "seed": 13}),
                          ("gbt_regressor", {"maxIter": 20})]:
-        m = MD.make_estimator(name, labelCol="label", **params).fit(d)
-        rmse = RegressionEvaluator(labelCol="label", metricName="rmse").evaluate(m.transform(d))
+        m = MD.make_estimator(name, **whole, **params).fit(v)
+        rmse = RegressionEvaluator(labelCol="label", weightCol="rows", metricName="rmse").evaluate(m.transform(v))
+        rmse = (rmse * rmse + within) ** 0.5  # of the rows: their squares around the cells' means are left out above
         imp = m.featureImportances.toArray().tolist()
         rows.append((name, float(rmse), FEATS[int(max(range(len(imp)), key=lambda i: imp[i]))]))
     return spark.createDataFrame(rows, "model string, rmse double, top_feature string")
